@@ -11,7 +11,7 @@ All rules compile to one ``select``, so cleaning is a single narrow stage withou
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -57,20 +57,25 @@ def _for_one(value: Column, rules: Mapping[str, Any]) -> Column:
     return value
 
 
+def cleaning_columns(
+    df: DataFrame, rules: Mapping[str, Any], columns: Sequence[str]
+) -> list[Column]:
+    """The cleaning of ``columns`` as expressions, to be selected beside others."""
+    if not isinstance(rules, Mapping) or not isinstance(rules.get("columns"), Mapping):
+        raise ValueError("cleaning rules need a 'columns' section")
+    for_all, for_one = rules.get("global", {}), rules["columns"]
+    return [
+        _for_one(_for_all(df[f"`{name}`"], for_all), for_one.get(name, {})).alias(name)
+        for name in columns
+    ]
+
+
 def apply_cleaning(df: DataFrame, rules: Mapping[str, Any]) -> DataFrame:
     """Clean every column by the global rules, then the listed columns by their own.
 
     Columns named in the rules but absent from ``df`` are ignored.
     """
-    if not isinstance(rules, Mapping) or not isinstance(rules.get("columns"), Mapping):
-        raise ValueError("cleaning rules need a 'columns' section")
-    for_all, for_one = rules.get("global", {}), rules["columns"]
-    return df.select(
-        *[
-            _for_one(_for_all(df[f"`{name}`"], for_all), for_one.get(name, {})).alias(name)
-            for name in df.columns
-        ]
-    )
+    return df.select(*cleaning_columns(df, rules, df.columns))
 
 
 def clean_voters(df: DataFrame) -> DataFrame:
