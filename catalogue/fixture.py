@@ -14,10 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_voters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw voter rows, all strings, as they would stand in a county file."""
+    return voters_of(table(spark, sf_dir, "documents"))
+
+
+def voters_of(documents: DataFrame) -> DataFrame:
     words = F.split(F.trim("text"), SPLIT)
     return (
-        table(spark, sf_dir, "documents")
-        .withColumn("_words", words)
+        documents.withColumn("_words", words)
         .select(
             "doc_id",
             F.col("source").alias("dataset"),
