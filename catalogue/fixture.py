@@ -18,7 +18,7 @@ def raw_voters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def voters_of(documents: DataFrame) -> DataFrame:
-    words = F.split(F.trim("text"), SPLIT)
+    words = F.split(F.trim("text"), SPLIT, 4)  # three words and the rest
     return (
         documents.withColumn("_words", words)
         .select(

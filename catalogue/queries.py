@@ -479,7 +479,8 @@ def fold_profiles(spark, sf_dir):
     ),
 )
 def block_on_year_and_first_name(spark, sf_dir):
-    pairs = B.candidate_pairs(profiles_of(spark, sf_dir), [("birth_year", "first_name")])
+    profiles = materialize(profiles_of(spark, sf_dir), "profiles")
+    pairs = B.candidate_pairs(profiles, [("birth_year", "first_name")])
     return pairs.select("profile_id_l", "profile_id_r", "n_pairs")
 
 
@@ -501,7 +502,8 @@ def block_on_year_and_first_name(spark, sf_dir):
 )
 def candidate_pairs_by_first_rule(spark, sf_dir):
     rules = [("last_name", "gender_code"), ("birth_year", "first_name"), ("birth_year", "middle_name")]
-    pairs = B.candidate_pairs(profiles_of(spark, sf_dir), rules)
+    profiles = materialize(profiles_of(spark, sf_dir), "profiles")
+    pairs = B.candidate_pairs(profiles, rules)
     return pairs.select("profile_id_l", "profile_id_r", "match_key", "n_pairs")
 
 
@@ -514,7 +516,8 @@ def candidate_pairs_by_first_rule(spark, sf_dir):
 )
 def candidate_pairs_in_cells(spark, sf_dir):
     """The same pairs as one join, with every block above ten profiles cut into cells."""
-    pairs = B.candidate_pairs(profiles_of(spark, sf_dir), SETTINGS.rules, cell_rows=10)
+    profiles = materialize(profiles_of(spark, sf_dir), "profiles")
+    pairs = B.candidate_pairs(profiles, SETTINGS.rules, cell_rows=10)
     return pairs.select("profile_id_l", "profile_id_r", "match_key", "n_pairs")
 
 

@@ -3,7 +3,7 @@
 No Python worker is started: the loop over characters is a higher-order function. Plain built-in
 functions bound the result first, so that the loop only runs for pairs that can still reach a
 threshold. The expressions are written as SQL text, which Spark parses in one call; they take
-column names.
+column names. Lambda variables start with an underscore so that they do not hide a column.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def _name(column: str) -> str:
     return ".".join(f"`{part}`" for part in column.split("."))
 
 
-def _shared_start(a: str, b: str, choices: dict[int, float], other: float) -> str:
+def _shared_start(a: str, b: str, choices: dict[int, object], other: object) -> str:
     """CASE over the length of the shared start of two different strings, longest first."""
     tests = " ".join(
         f"WHEN substr({a}, 1, {n}) = substr({b}, 1, {n}) THEN {value}"
@@ -47,43 +47,43 @@ def _jaro(a: str, b: str) -> str:
     the head of the second string is searched, which keeps a match inside the window.
     """
     skip = _shared_start(a, b, {n: n for n in _SHARED_STARTS}, 0)
-    char = f"substr({a}, i, 1)"
-    at = f"locate({char}, substr(s.rest, 1, i + p.reach), greatest(1, i - p.reach))"
+    char = f"substr({a}, _i, 1)"
+    at = f"locate({char}, substr(_s.rest, 1, _i + _p.reach), greatest(1, _i - _p.reach))"
     matched_in_b = (
-        f"array_join(transform(sequence(p.skip + 1, length({b})),"
-        f" i -> if(substr(s.rest, i, 1) = {_USED}, substr({b}, i, 1), '')), '')"
+        f"array_join(transform(sequence(_p.skip + 1, length({b})),"
+        f" _i -> if(substr(_s.rest, _i, 1) = {_USED}, substr({b}, _i, 1), '')), '')"
     )
     moved = (
-        "size(filter(sequence(1, length(s.hits)),"
-        " i -> substr(s.hits, i, 1) <> substr(o, i, 1))) div 2"
+        "size(filter(sequence(1, length(_s.hits)),"
+        " _i -> substr(_s.hits, _i, 1) <> substr(_o, _i, 1))) div 2"
     )
-    m = "(p.skip + length(s.hits))"
+    m = "(_p.skip + length(_s.hits))"
     sides = f"{m} / length({a}) + {m} / length({b})"
     return f"""get(transform(
       array(struct({skip} AS skip,
         int(greatest(greatest(length({a}), length({b})) div 2 - 1, 0)) AS reach)),
-      p -> aggregate(
-        if(p.skip = length({a}), cast(array() AS array<int>), sequence(p.skip + 1, length({a}))),
+      _p -> aggregate(
+        if(_p.skip = length({a}), cast(array() AS array<int>), sequence(_p.skip + 1, length({a}))),
         struct(
-          if(p.skip = 0, {b}, concat(repeat({_USED}, p.skip), substr({b}, p.skip + 1))) AS rest,
+          if(_p.skip = 0, {b}, concat(repeat({_USED}, _p.skip), substr({b}, _p.skip + 1))) AS rest,
           '' AS hits),
-        (s, i) -> if({at} > 0,
-          struct(overlay(s.rest PLACING {_USED} FROM {at} FOR 1) AS rest,
-                 concat(s.hits, {char}) AS hits),
-          s),
-        s -> CASE
+        (_s, _i) -> if({at} > 0,
+          struct(overlay(_s.rest PLACING {_USED} FROM {at} FOR 1) AS rest,
+                 concat(_s.hits, {char}) AS hits),
+          _s),
+        _s -> CASE
           WHEN {m} = 0 THEN 0D
-          WHEN s.hits = '' THEN ({sides} + 1D) / 3D
+          WHEN _s.hits = '' THEN ({sides} + 1D) / 3D
           ELSE get(transform(array({matched_in_b}),
-            o -> ({sides} + ({m} - if(s.hits = o, 0, {moved})) / {m}) / 3D), 0)
+            _o -> ({sides} + ({m} - if(_s.hits = _o, 0, {moved})) / {m}) / 3D), 0)
         END)), 0)"""
 
 
 def _different(a: str, b: str) -> str:
     """Jaro-Winkler similarity of two different non-empty strings."""
     return (
-        f"get(transform(array({_jaro(a, b)}), j -> if(j > {BOOST_ABOVE}D,"
-        f" j + ({_prefix(a, b)}) * {PREFIX_WEIGHT}D * (1D - j), j)), 0)"
+        f"get(transform(array({_jaro(a, b)}), _j -> if(_j > {BOOST_ABOVE}D,"
+        f" _j + ({_prefix(a, b)}) * {PREFIX_WEIGHT}D * (1D - _j), _j)), 0)"
     )
 
 
@@ -99,10 +99,10 @@ def jaro_winkler(left: str, right: str) -> Column:
 
 
 def _letter_bits(text: str) -> str:
-    bit = "shiftleft(1L, ascii(c) - 97)"
+    bit = "shiftleft(1L, ascii(_c) - 97)"
     return (
-        f"aggregate(filter(split({text}, ''), c -> c BETWEEN 'a' AND 'z'), 0L,"
-        f" (s, c) -> s | if((s & {bit}) = 0, {bit}, shiftleft(1L, ascii(c) - 71)))"
+        f"aggregate(filter(split({text}, ''), _c -> _c BETWEEN 'a' AND 'z'), 0L,"
+        f" (_s, _c) -> _s | if((_s & {bit}) = 0, {bit}, shiftleft(1L, ascii(_c) - 71)))"
     )
 
 
@@ -114,25 +114,29 @@ def letter_bits(column: str) -> Column:
     return F.expr(_letter_bits(_name(column)))
 
 
+def _needed(threshold: float, prefix: int) -> float:
+    """How much m/|a| + m/|b| two strings with this shared start need to reach ``threshold``.
+
+    The similarity reaches t only if the Jaro part reaches (t - 0.1p) / (1 - 0.1p), and that is at
+    most (m/|a| + m/|b| + 1) / 3 for m matching characters.
+    """
+    boosted = (threshold - PREFIX_WEIGHT * prefix) / (1 - PREFIX_WEIGHT * prefix)
+    return 3 * (min(threshold, max(BOOST_ABOVE, boosted)) - _SLACK) - 1
+
+
 def _out_of_reach(a: str, b: str, bits_a: str, bits_b: str, threshold: float) -> str:
     """True only if two different strings certainly stay below ``threshold``.
 
     A letter that the other string lacks, or has only once, stays unmatched, which bounds the
-    number m of matches. With a shared start of p characters the similarity reaches t only if the
-    Jaro part reaches (t - 0.1p) / (1 - 0.1p), and that needs m/|a| + m/|b| + 1 three times as big.
+    number of matches.
     """
-
-    def needed(p: int) -> float:
-        boosted = (threshold - PREFIX_WEIGHT * p) / (1 - PREFIX_WEIGHT * p)
-        return 3 * (min(threshold, max(BOOST_ABOVE, boosted)) - _SLACK) - 1
-
     most = (
         f"least(length({a}) - bit_count({bits_a} & ~{bits_b}),"
         f" length({b}) - bit_count({bits_b} & ~{bits_a}))"
     )
-    share = _shared_start(
-        a, b, {p: f"{needed(p)!r}D" for p in range(1, PREFIX_LENGTH + 1)}, f"{needed(0)!r}D"
-    )
+    shares = {p: f"{_needed(threshold, p)!r}D" for p in range(PREFIX_LENGTH + 1)}
+    other = shares.pop(0)
+    share = _shared_start(a, b, shares, other)
     return f"{most} * (length({a}) + length({b})) < ({share}) * length({a}) * length({b})"
 
 
@@ -151,13 +155,56 @@ def similarity_level(
     rising = sorted(thresholds)
     bits_a, bits_b = map(_name, bits) if bits else (_letter_bits(a), _letter_bits(b))
     graded = " ".join(
-        f"WHEN w >= {cut!r}D THEN {rank}" for rank, cut in reversed(list(enumerate(rising, 1)))
+        f"WHEN _w >= {cut!r}D THEN {rank}" for rank, cut in reversed(list(enumerate(rising, 1)))
     )
     return F.expr(
         f"""CASE WHEN {a} IS NULL OR {b} IS NULL THEN -1
              WHEN {a} = {b} THEN {len(rising) + 1}
              WHEN {a} = '' OR {b} = '' THEN 0
              WHEN {_out_of_reach(a, b, bits_a, bits_b, rising[0])} THEN 0
-             ELSE get(transform(array({_different(a, b)}), w -> CASE {graded} ELSE 0 END), 0)
+             ELSE get(transform(array({_different(a, b)}), _w -> CASE {graded} ELSE 0 END), 0)
             END"""
     )
+
+
+def similarity_keys(column: str, threshold: float) -> Column:
+    """Keys such that any two strings with at least this similarity share one, for equi-joins.
+
+    Strings that share their first two characters meet there. Others get little or no boost for
+    their start, so they have almost all characters in common: each names the selections of its
+    sorted characters that a partner of a given length must contain too. Equal strings also meet.
+    Where such selections would be too many, strings meet by the two lengths alone.
+    """
+    text = _name(column)
+
+    def shorter(words: str) -> str:
+        """All words with one more character left out."""
+        return (
+            f"array_distinct(flatten(transform({words}, _w -> transform(sequence(1, length(_w)),"
+            " _i -> concat(substr(_w, 1, _i - 1), substr(_w, _i + 1))))))"
+        )
+
+    one = shorter("array(_x.letters)")
+    two = shorter(one)
+    few = f"CASE _x.n - _m WHEN 0 THEN array(_x.letters) WHEN 1 THEN {one} ELSE {two} END"
+    classes = []
+    for prefix in (0, 1):
+        need = _needed(threshold, prefix)
+        if need <= 1:
+            raise ValueError(f"{threshold} is too low for similarity keys")
+        start = f"concat_ws('|', 'p{prefix}', substr({text}, 1, {prefix}), least(_x.n, _b), greatest(_x.n, _b)"
+        keys = f"""if(_m > least(_x.n, _b), cast(array() AS array<string>),
+            if(greatest(_x.n, _b) - _m > 2, array({start})),
+               transform({few}, _k -> {start}, _k))))"""
+        classes.append(
+            f"""flatten(transform(
+              sequence(greatest(1, int(ceil(_x.n * {need - 1!r}D))), int(floor(_x.n / {need - 1!r}D))),
+              _b -> get(transform(array(int(ceil({need!r}D * _x.n * _b / (_x.n + _b)))), _m -> {keys}), 0)))"""
+        )
+    sorted_letters = f"array_join(array_sort(filter(split({text}, ''), _c -> _c <> '')), '')"
+    return F.expr(
+        f"""CASE WHEN {text} IS NULL OR {text} = '' THEN cast(array() AS array<string>)
+          ELSE get(transform(
+            array(struct({sorted_letters} AS letters, length({text}) AS n)),
+            _x -> concat(array(concat('p2|', substr({text}, 1, 2))), {", ".join(classes)})), 0) END"""
+    )

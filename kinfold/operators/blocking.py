@@ -54,10 +54,13 @@ def _agrees(rule: Rule) -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, same), F.lit(False))
 
 
-def _cells(known: DataFrame, rule: Rule, cell_rows: int) -> DataFrame | None:
-    """Blocks that need splitting, with the number of parts per side; None if there are none."""
+def hot_blocks(rows: DataFrame, rule: Rule, cell_rows: int) -> DataFrame | None:
+    """Blocks with more than ``cell_rows`` rows and the number of parts to cut them in.
+
+    None if there are none. They are broadcast only if they are few.
+    """
     hot = (
-        known.groupBy(*rule)
+        rows.groupBy(*rule)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > cell_rows)
         .select(*rule, F.ceil(F.col("_rows") / cell_rows).cast("int").alias("_parts"))
@@ -66,13 +69,18 @@ def _cells(known: DataFrame, rule: Rule, cell_rows: int) -> DataFrame | None:
     if not few:
         return None
     if len(few) <= MAX_HOT_BLOCKS:
-        return F.broadcast(known.sparkSession.createDataFrame(few, hot.schema))
+        return F.broadcast(rows.sparkSession.createDataFrame(few, hot.schema))
     return hot  # too many to broadcast: joined like any other table
 
 
-def _join_block(profiles: DataFrame, rule: Rule, source: str, cell_rows: int) -> DataFrame:
-    known = profiles.where(_known(rule))
-    hot = _cells(known, rule, cell_rows)
+def join_block(rows: DataFrame, rule: Rule, once: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Pairs of ``rows`` that agree on ``rule``, as columns with ``_l`` and ``_r``.
+
+    ``once`` names the column that must be smaller on the left, so that a pair comes up once.
+    Rows need a ``profile_id``.
+    """
+    known = rows.where(_known(rule))
+    hot = hot_blocks(known, rule, cell_rows)
     keys = list(rule)
     if hot is None:
         left = right = known
@@ -88,13 +96,25 @@ def _join_block(profiles: DataFrame, rule: Rule, source: str, cell_rows: int) ->
     left = left.select(*[F.col(c).alias(f"{c}_l") for c in left.columns])
     right = right.select(*[F.col(c).alias(f"{c}_r") for c in right.columns])
     on = [left[f"{c}_l"] == right[f"{c}_r"] for c in keys]
-    # each pair once: the smaller source is always on the left
-    on.append(left[f"{source}_l"] < right[f"{source}_r"])
+    on.append(left[f"{once}_l"] < right[f"{once}_r"])
     return left.join(right, reduce(lambda a, b: a & b, on)).drop(
         "_row_l", "_row_r", "_col_l", "_col_r"
     )
 
 
+def widest_rules(rules: Sequence[Rule]) -> list[Rule]:
+    """The rules that are not merely a narrower form of another one."""
+    return [
+        r
+        for i, r in enumerate(rules)
+        if not any(
+            set(o) < set(r) or (set(o) == set(r) and j < i)
+            for j, o in enumerate(rules)
+            if j != i
+        )
+    ]
+
+
 def candidate_pairs(
     profiles: DataFrame,
     rules: Sequence[Rule],
@@ -108,18 +128,10 @@ def candidate_pairs(
     so it costs no join; the remaining joins exclude what an earlier one already found, which
     needs no de-duplicating shuffle.
     """
-    wide = [
-        r
-        for i, r in enumerate(rules)
-        if not any(
-            set(o) < set(r) or (set(o) == set(r) and j < i)
-            for j, o in enumerate(rules)
-            if j != i
-        )
-    ]
+    wide = widest_rules(rules)
     found = []
     for i, rule in enumerate(wide):
-        pairs = _join_block(profiles, rule, source, cell_rows)
+        pairs = join_block(profiles, rule, source, cell_rows)
         for earlier in wide[:i]:
             pairs = pairs.where(~_agrees(earlier))
         found.append(pairs)
@@ -149,23 +161,3 @@ def expand_pairs(
         )
         pairs = pairs.join(named, f"profile_id_{side}")
     return pairs.select(f"{id_col}_l", f"{id_col}_r", *rest)
-
-
-def count_cross_pairs(records: DataFrame, keys: Rule, source: str = "county_desc") -> DataFrame:
-    """Number of record pairs that agree on ``keys`` across sources, as one row ``n_pairs``.
-
-    Counted from group sizes, (n² - Σ nₛ²) / 2 per block, so no pair is ever formed and a hot key
-    is just a large number. With no keys it counts all pairs of different sources. Profiles may
-    be passed instead of records.
-    """
-    known = records.where(_known([*keys, source]))
-    size = F.sum("n_records") if "n_records" in records.columns else F.count("*")
-    per_source = known.groupBy(*keys, source).agg(size.cast("decimal(38,0)").alias("_n"))
-    per_block = per_source.groupBy(*keys).agg(
-        F.sum("_n").alias("_n"), F.sum(F.col("_n") * F.col("_n")).alias("_nn")
-    )
-    return per_block.agg(
-        F.coalesce(F.sum((F.col("_n") * F.col("_n") - F.col("_nn")) / 2), F.lit(0))
-        .cast("double")
-        .alias("n_pairs")
-    )

@@ -21,26 +21,34 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("_low"))
     low = low.select("a", F.least("a", "_low").alias("_low"))
-    return _edge_set(
-        both.join(low, "a").where(F.col("b") > F.col("a")).select(
-            F.col("b").alias("a"), F.col("_low").alias("b")
-        )
+    # one row per edge, as only its larger end is linked anew
+    return both.join(low, "a").where(F.col("b") > F.col("a")).select(
+        F.col("b").alias("a"), F.col("_low").alias("b")
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Link a vertex and all its smaller neighbours to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    low = down.groupBy("a").agg(F.min("b").alias("_low"))
-    others = down.join(low, "a").select(F.col("b").alias("a"), F.col("_low").alias("b"))
+    """Link a vertex and all its smaller neighbours to the smallest of them.
+
+    Every edge leads to a smaller vertex already, which a large star leaves behind.
+    """
+    low = edges.groupBy("a").agg(F.min("b").alias("_low"))
+    others = edges.join(low, "a").select(F.col("b").alias("a"), F.col("_low").alias("b"))
     return _edge_set(others.unionByName(low.select("a", F.col("_low").alias("b"))))
 
 
 def _all_stars(edges: DataFrame) -> bool:
     """Whether every vertex has one link and no link leads to a vertex that links on."""
-    forked = edges.groupBy("a").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("a")
-    chained = edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
-    return forked.unionByName(chained.select("a")).isEmpty()
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+            F.struct(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+        )
+    ).alias("e")
+    degrees = edges.select(ends).groupBy("e.v").agg(
+        F.sum("e.up").alias("up"), F.max("e.down").alias("down")
+    )
+    return degrees.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def connected_components(
@@ -134,7 +142,11 @@ def multi_source_report(golden: DataFrame, source: str = "county_desc") -> DataF
 
 
 def run_metrics(
-    records: DataFrame, predictions: DataFrame, matches: DataFrame, golden: DataFrame
+    records: DataFrame,
+    predictions: DataFrame,
+    matches: DataFrame,
+    golden: DataFrame,
+    source: str = "county_desc",
 ) -> DataFrame:
     """The counts a run reports, one row per ``metric`` with its ``value``.
 
@@ -146,7 +158,7 @@ def run_metrics(
 
     pairs = F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("value")
     rows = F.count("*").alias("value")
-    sizes = count_sources(golden)
+    sizes = count_sources(golden, source)
     wide = F.count_if(F.col("county_count") > 1).alias("value")
     return reduce(
         DataFrame.unionByName,

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.blocking import Rule, candidate_pairs, count_cross_pairs
+from kinfold.operators.blocking import Rule, candidate_pairs
 from kinfold.operators.comparison import Comparison, compare
 from kinfold.operators.identity import number_in_order, sample_exactly
 
@@ -76,33 +76,61 @@ def estimate_prior(
 ) -> DataFrame:
     """One row: pairs found by any rule, all pairs across sources, and the prior they imply.
 
-    The union of the rules is counted by inclusion and exclusion over their key sets, each term
-    from group sizes alone.
+    The union of the rules is counted by inclusion and exclusion over their key sets. Each count
+    comes from group sizes alone, (n² - Σ nₛ²) / 2 per block, so no pair is ever formed, and one
+    scan with grouping sets serves all of them. Profiles may be passed instead of records.
     """
-    found = F.lit(0.0)
-    terms = None
-    n = 0
+    signs: dict[frozenset[str], int] = {frozenset(): 0}
     for size in range(1, len(rules) + 1):
         for some in combinations(rules, size):
-            keys = list(dict.fromkeys(c for rule in some for c in rule))
-            term = count_cross_pairs(records, keys, source).select(
-                F.lit(n).alias("_term"), "n_pairs"
-            )
-            terms = term if terms is None else terms.unionByName(term)
-            sign = 1.0 if size % 2 else -1.0
-            found = found + F.sum(F.when(F.col("_term") == n, F.col("n_pairs"))) * sign
-            n += 1
-    terms = terms.unionByName(
-        count_cross_pairs(records, [], source).select(F.lit(n).alias("_term"), "n_pairs")
+            keys = frozenset(c for rule in some for c in rule)
+            signs[keys] = signs.get(keys, 0) + (1 if size % 2 else -1)
+    sets = [keys for keys, sign in signs.items() if sign or not keys]
+    columns = sorted(frozenset().union(*sets))
+    rows = F.sum("n_records") if "n_records" in records.columns else F.count("*")
+    per_source = (
+        records.where(F.col(source).isNotNull())
+        .groupingSets(
+            [[F.col(c) for c in [*sorted(keys), source]] for keys in sets],
+            *[F.col(c) for c in [*columns, source]],
+        )
+        .agg(F.grouping_id().alias("_set"), rows.cast("decimal(38,0)").alias("_n"))
+    )
+
+    def set_number(keys: frozenset[str]) -> int:
+        """grouping_id: one bit per column, the last column lowest, set if left out."""
+        order = [*columns, source]
+        return sum(
+            1 << (len(order) - 1 - i) for i, c in enumerate(order) if c not in {*keys, source}
+        )
+
+    usable = F.lit(False)
+    for keys in sets:
+        known = F.col("_set") == set_number(keys)
+        for c in sorted(keys):
+            known = known & F.col(c).isNotNull()
+        usable = usable | known
+    per_block = (
+        per_source.where(usable)
+        .groupBy("_set", *columns)
+        .agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") * F.col("_n")).alias("_nn"))
     )
-    possible = F.sum(F.when(F.col("_term") == n, F.col("n_pairs")))
-    return terms.agg(found.alias("rule_pairs"), possible.alias("possible_pairs")).withColumn(
+    pairs = (F.col("_n") * F.col("_n") - F.col("_nn")).cast("double") / 2
+    sign = F.lit(0)
+    for keys in sets:
+        if keys:
+            sign = F.when(F.col("_set") == set_number(keys), signs[keys]).otherwise(sign)
+    whole = F.col("_set") == set_number(frozenset())
+    none = F.lit(0.0)
+    return per_block.agg(
+        F.coalesce(F.sum(sign * pairs), none).alias("rule_pairs"),
+        F.coalesce(F.sum(F.when(whole, pairs)), none).alias("possible_pairs"),
+    ).withColumn(
         "prior",
-        F.least(
-            F.when(F.col("possible_pairs") > 0, F.col("rule_pairs") / recall / F.col("possible_pairs"))
-            .otherwise(0.0),
-            F.lit(1.0),
-        ),
+        F.when(
+            F.col("possible_pairs") > 0,
+            F.least(F.col("rule_pairs") / recall / F.col("possible_pairs"), F.lit(1.0)),
+        ).otherwise(0.0),
     )
 
 

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions import text as T
-from kinfold.operators.blocking import Rule, candidate_pairs, fold_profiles
+from kinfold.operators.blocking import (
+    CELL_ROWS,
+    Rule,
+    candidate_pairs,
+    fold_profiles,
+    widest_rules,
+)
 from kinfold.operators.clusters import (
     assign_golden_ids,
     attach_records,
@@ -27,6 +34,13 @@ from kinfold.operators.comparison import (
     exact,
     similar,
 )
+from kinfold.operators.entities import (
+    fold_groups,
+    group_edges,
+    idle_comparisons,
+    spread_groups,
+    twins_match,
+)
 from kinfold.operators.identity import sample_exactly
 from kinfold.operators.mapping import drop_null_ids, stamp_run
 from kinfold.operators.scoring import predict, strict_matches
@@ -62,30 +76,14 @@ class MatchSettings:
     match_at: float = MATCH_AT
     source: str = "county_desc"
     id_col: str = "unique_id"
+    equal: tuple[str, ...] = ("gender_code", "birth_year")
+    alike: str = "gamma_last_name"
     empty_as_null: bool = True
     learn_u: bool = False
     max_iterations: int = 25
     tolerance: float = 1e-4
     sample_size: int | None = None
-
-
-@dataclass(frozen=True)
-class MatchResult:
-    model: Model
-    records: DataFrame
-    profiles: DataFrame
-    predictions: DataFrame
-    matches: DataFrame
-    golden: DataFrame
-    source: str = field(default="county_desc")
-
-    @property
-    def multi_source(self) -> DataFrame:
-        return multi_source_report(self.golden, self.source)
-
-    @property
-    def metrics(self) -> DataFrame:
-        return run_metrics(self.records, self.predictions, self.matches, self.golden)
+    cell_rows: int = CELL_ROWS
 
 
 def normalise_people(records: DataFrame, empty_as_null: bool = True) -> DataFrame:
@@ -150,37 +148,113 @@ def fit_model(profiles: DataFrame, people: DataFrame, settings: MatchSettings) -
 
 def compare_candidates(profiles: DataFrame, settings: MatchSettings) -> DataFrame:
     """Blocked profile pairs with their levels."""
-    pairs = candidate_pairs(profiles, settings.rules, settings.source)
+    pairs = candidate_pairs(profiles, settings.rules, settings.source, settings.cell_rows)
     keep = ["profile_id_l", "profile_id_r", "match_key", "n_pairs"]
-    for c in (settings.source, "gender_code", "birth_year"):
+    for c in (settings.source, *settings.equal):
         keep += [f"{c}_l", f"{c}_r"]
     return compare(pairs, settings.comparisons, list(dict.fromkeys(keep)))
 
 
+def entity_labels(
+    people: DataFrame, profiles: DataFrame, model: Model, settings: MatchSettings
+) -> DataFrame:
+    """Every record id with its ``component``, the smallest id of its entity.
+
+    With an ordinary model the work is done on groups over all sources. If the model needs every
+    comparison of every pair, profiles are compared pair by pair.
+    """
+    s = settings
+    rules = widest_rules(s.rules)
+    alike = next(c for c in model.comparisons if c.gamma == s.alike)
+    if len(rules) == 1 and alike.thresholds:
+        block = list(dict.fromkeys([*rules[0], *s.equal]))
+        idle = idle_comparisons(model, s.match_at, block, alike)
+        kept = tuple(c for c in model.comparisons if c not in idle)
+        small = replace(model, comparisons=kept)
+        if alike.column not in block and twins_match(small, s.match_at, block, alike):
+            columns = list(dict.fromkeys([*block, alike.column, *compared_columns(kept)]))
+            groups = materialize(
+                fold_groups(profiles, columns, [*block, alike.column], s.source, "profile_id"),
+                "groups",
+            )
+            edges = group_edges(groups, block, small, s.match_at, alike, s.cell_rows)
+            components = connected_components(edges)
+            return spread_groups(people, groups, components, columns, s.id_col)
+    matches = strict_matches(
+        predict(compare_candidates(profiles, s), model, s.predict_at), s.match_at, s.equal, s.alike
+    )
+    components = connected_components(matches, "profile_id_l", "profile_id_r")
+    columns = list(dict.fromkeys([s.source, *profile_columns(s)]))
+    narrow = people.select(s.id_col, *columns)
+    return spread_components(narrow, profiles, components, columns, s.id_col).select(
+        s.id_col, "component"
+    )
+
+
+class MatchResult:
+    """What a match run can give. Everything is built when it is first asked for.
+
+    The golden ids do not need all candidate pairs, so pairs are only formed for ``predictions``,
+    ``matches`` and ``metrics``.
+    """
+
+    def __init__(
+        self,
+        records: DataFrame,
+        people: DataFrame,
+        profiles: DataFrame,
+        model: Model,
+        run_at: datetime,
+        settings: MatchSettings,
+    ) -> None:
+        self.records = records
+        self.people = people
+        self.profiles = profiles
+        self.model = model
+        self.run_at = run_at
+        self.settings = settings
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """Scored profile pairs above the prediction threshold."""
+        gammas = compare_candidates(self.profiles, self.settings)
+        return stamp_run(predict(gammas, self.model, self.settings.predict_at), self.run_at)
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        """The predictions that pass the strict filter."""
+        s = self.settings
+        return strict_matches(self.predictions, s.match_at, s.equal, s.alike)
+
+    @cached_property
+    def golden(self) -> DataFrame:
+        """Every record with its golden id."""
+        s = self.settings
+        labels = entity_labels(self.people, self.profiles, self.model, s)
+        numbered = assign_golden_ids(labels, s.id_col)
+        return stamp_run(attach_records(numbered, self.records, s.id_col), self.run_at)
+
+    @cached_property
+    def multi_source(self) -> DataFrame:
+        """Members of the entities that occur in more than one source."""
+        return multi_source_report(self.golden, self.settings.source)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return run_metrics(
+            self.records, self.predictions, self.matches, self.golden, self.settings.source
+        )
+
+
 def match_records(
     records: DataFrame, run_at: datetime, settings: MatchSettings = MatchSettings()
 ) -> MatchResult:
-    """Link ``records`` across sources and give every record a golden id.
+    """Link ``records`` across sources: fold them into profiles and train the model.
 
-    Profiles and predictions are written once to the scratch folder: the profiles feed the prior,
-    the training and the prediction, the predictions feed the matches and the metrics.
+    The profiles are written once to the scratch folder; they feed the prior, the training, the
+    entities and the predictions.
     """
-    source, id_col = settings.source, settings.id_col
     people = normalise_people(records, settings.empty_as_null)
-    columns = [source, *[c for c in profile_columns(settings) if c != source]]
     profiles = materialize(build_profiles(people, settings), "profiles")
     model = fit_model(profiles, people, settings)
-    predictions = stamp_run(
-        materialize(
-            predict(compare_candidates(profiles, settings), model, settings.predict_at),
-            "predictions",
-        ),
-        run_at,
-    )
-    matches = strict_matches(predictions, settings.match_at)
-    components = connected_components(matches, "profile_id_l", "profile_id_r")
-    narrow = people.select(id_col, *columns)
-    labelled = spread_components(narrow, profiles, components, columns, id_col)
-    numbered = assign_golden_ids(labelled.select(id_col, "component"), id_col)
-    golden = stamp_run(attach_records(numbered, records, id_col), run_at)
-    return MatchResult(model, records, profiles, predictions, matches, golden, source)
+    return MatchResult(records, people, profiles, model, run_at, settings)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kinfold.operators import blocking as B
 from kinfold.operators.comparison import compare, exact, similar
+from kinfold.operators.entities import idle_comparisons, similar_groups, twins_match
 from kinfold.operators.scoring import predict, score
 from kinfold.operators.training import (
     Model,
@@ -195,12 +196,23 @@ def test_scores_do_not_touch_python_and_keep_the_keys(spark):
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("empty_as_null", [True, False])
-def test_flow_equals_brute_force(spark, empty_as_null):
-    """Golden ids from profiles equal those from every single pair of records."""
+TWO_RULES = (("birth_year", "first_name"), ("birth_year", "last_name"))
+
+
+@pytest.mark.parametrize(
+    ("empty_as_null", "cell_rows", "rules"),
+    [
+        (True, 5000, M.PERSON_RULES),
+        (False, 5000, M.PERSON_RULES),
+        (True, 2, M.PERSON_RULES),  # every block is hot: groups meet by similarity keys
+        (True, 5000, TWO_RULES),  # compared profile by profile
+    ],
+)
+def test_flow_equals_brute_force(spark, empty_as_null, cell_rows, rules):
+    """Golden ids equal those from every single pair of records."""
     rows = make_people(160, seed=8)
     records = spark.createDataFrame(rows, PEOPLE)
-    settings = M.MatchSettings(empty_as_null=empty_as_null)
+    settings = M.MatchSettings(empty_as_null=empty_as_null, cell_rows=cell_rows, rules=rules)
     result = M.match_records(records, datetime(2024, 1, 1), settings)
     model = result.model
 
@@ -219,9 +231,7 @@ def test_flow_equals_brute_force(spark, empty_as_null):
 
     def matches(a, b):
         a, b = view(a), view(b)
-        if a["birth_year"] is None or a["first_name"] is None:
-            return False
-        if (a["birth_year"], a["first_name"]) != (b["birth_year"], b["first_name"]):
+        if not any(all(a[c] is not None and a[c] == b[c] for c in rule) for rule in rules):
             return False
         levels = {c.gamma: level(c, a, b) for c in model.comparisons}
         w = model.prior_weight() + sum(
@@ -251,6 +261,45 @@ def test_flow_equals_brute_force(spark, empty_as_null):
     assert metrics["records"] == 160 and metrics["golden_ids"] == len(heads)
 
 
+def test_idle_comparisons():
+    alike = M.PERSON_COMPARISONS[3]
+    block = ["birth_year", "first_name", "gender_code"]
+    model = Model.start(M.PERSON_COMPARISONS, 0.01)
+    idle = idle_comparisons(model, 0.93, block, alike)
+    assert [c.gamma for c in idle] == ["gamma_middle_name", "gamma_full_name"]
+    assert twins_match(model, 0.93, block, alike)
+    # with a tiny prior the middle name decides, and twins without one do not match
+    strict = Model.start(M.PERSON_COMPARISONS, 1e-9)
+    low = idle_comparisons(strict, 1 - 1e-5, block, alike)
+    assert [c.gamma for c in low] != ["gamma_middle_name", "gamma_full_name"]
+
+
+def test_similar_groups_meet_in_hot_blocks(spark):
+    """Every pair of similar names of a hot block is found, and none outside of its block."""
+    rng = random.Random(6)
+    names = set()
+    for _ in range(80):
+        word = "".join(rng.choice("aeinrstlodcm") for _ in range(rng.randint(4, 9)))
+        names.add(word)
+        for _ in range(4):
+            k = rng.randrange(len(word))
+            names.add(word[:k] + rng.choice(["", "x", word[k] * 2]) + word[k + 1 :])
+    names = sorted(names)
+    rng.shuffle(names)
+    rows = [(n, f"b{i % 2}", f"g{i:04d}") for i, n in enumerate(names)]
+    groups = spark.createDataFrame(rows, "last_name string, block string, profile_id string")
+    alike = similar("last_name", [0.97, 0.92])
+    got = similar_groups(groups, ["block"], alike, cell_rows=50)
+    found = {(r["profile_id_l"], r["profile_id_r"]) for r in got.collect()}
+    want = {
+        (a[2], b[2]) for a, b in combinations(rows, 2) if a[1] == b[1] and by_hand(a[0], b[0]) >= 0.92
+    }
+    assert len(want) > 20 and want <= found
+    assert len(found) < len(rows) ** 2 / 16
+    whole = similar_groups(groups, ["block"], alike).select("profile_id_l", "profile_id_r")
+    assert whole.count() == 2 * math.comb(len(rows) // 2, 2) + (len(rows) % 2) * (len(rows) // 2)
+
+
 def test_load_records(spark):
     rows = make_people(20)
     frames = [spark.createDataFrame(rows[:10], PEOPLE), spark.createDataFrame([(None, *r[1:]) for r in rows[10:]], PEOPLE)]

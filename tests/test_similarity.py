@@ -5,8 +5,9 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from kinfold.functions.similarity import jaro_winkler, letter_bits, similarity_level
+from kinfold.functions.similarity import jaro_winkler, letter_bits, similarity_keys, similarity_level
 
 
 def by_hand(a: str, b: str) -> float:
@@ -87,3 +88,32 @@ def test_equals_duckdb_on_mutated_words(spark, tmp_path):
     want = dict(duckdb.sql(f"SELECT i, jaro_winkler_similarity(a, b) FROM '{path}' WHERE b <> ''").fetchall())
     got = spark.read.parquet(path).where("b <> ''").select("i", jaro_winkler("a", "b").alias("w"))
     assert max(abs(r["w"] - want[r["i"]]) for r in got.collect()) < 1e-12
+
+
+@pytest.mark.parametrize("threshold", [0.88, 0.92, 0.97])
+def test_similar_words_share_a_key(spark, threshold):
+    rng = random.Random(9)
+    pairs = []
+    for _ in range(6000):
+        a = "".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 18)))
+        b = list(a)
+        for _ in range(rng.randint(1, 3)):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "x", "st"])
+        pairs.append((a, "".join(b)))
+    df = pairs_frame(spark, pairs).orderBy("i")
+    meet = F.arrays_overlap(similarity_keys("a", threshold), similarity_keys("b", threshold))
+    got = [r[0] for r in df.select(meet).collect()]
+    near = [by_hand(a, b) >= threshold for a, b in pairs]
+    starts = {a[:1] == b[:1] for (a, b), n in zip(pairs, near, strict=True) if n}
+    assert sum(near) > 500 and starts == {True, False}
+    assert all(g for g, n in zip(got, near, strict=True) if n)
+
+
+@pytest.mark.parametrize("names", ["s i", "p o", "x b", "w m", "k c"])
+def test_column_names_do_not_matter(spark, names):
+    left, right = names.split()
+    df = pairs_frame(spark, [("martha", "marhta")]).withColumnsRenamed({"i": "row", "a": left, "b": right})
+    got = df.select(jaro_winkler(left, right), similarity_level(left, right, [0.9]),
+                    F.arrays_overlap(similarity_keys(left, 0.9), similarity_keys(right, 0.9))).first()
+    assert (round(got[0], 4), got[1], got[2]) == (0.9611, 1, True)
