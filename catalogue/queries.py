@@ -35,8 +35,8 @@ from kinfold.operators import blocking as B
 from kinfold.operators import clusters as C
 from kinfold.operators import identity as I
 from kinfold.operators import ingest_log, mapping, schema_log
-from kinfold.operators.cleaning import apply_cleaning, clean_voters
-from kinfold.operators.comparison import add_letter_bits, compare, exact, similar
+from kinfold.operators.cleaning import apply_cleaning
+from kinfold.operators.comparison import compare, exact, similar
 from kinfold.operators.scoring import predict, score, strict_matches
 from kinfold.operators.training import (
     count_patterns,
@@ -44,14 +44,14 @@ from kinfold.operators.training import (
     held_out,
     model_table,
     random_pairs,
-    train_m,
 )
+from kinfold.operators.mapping import LINKAGE_COLUMNS
 from kinfold.plans import match as M
 from kinfold.plans.prepare import prepare
 from kinfold.session import materialize, scratch_path
 from kinfold.sources.api_pages import explode_api_records
 from kinfold.sources.archives import explode_archives, parse_members
-from kinfold.sources.delimited import POSITION, read_delimited
+from kinfold.sources.delimited import read_delimited
 from kinfold.sources.files import audit_files, audit_paths, classify_files, type_priority
 from kinfold.sources.json_records import read_json
 from kinfold.sources.loader import read_parquet
@@ -885,6 +885,39 @@ def file_attempts(spark, sf_dir):
     return ingest_log.attempts(attempt_events(spark, sf_dir)).drop("checksum")
 
 
+@query(
+    "attempt_log",
+    """SELECT 'file_' || c_custkey AS filename,
+              CASE WHEN c_acctbal >= 0 THEN 'completed' ELSE 'failed' END AS status,
+              CASE WHEN c_acctbal >= 0 THEN c_custkey END AS size_bytes,
+              CASE WHEN c_acctbal < 0 THEN c_mktsegment END AS error, 1::BIGINT AS n_attempts
+       FROM customer""",
+)
+def attempt_log(spark, sf_dir):
+    """Customers as files: attempts started, then completed or failed, appended and folded."""
+    path = scratch_path(spark, "events")
+    files = X.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("file_"), F.col("c_custkey").cast("string")).alias("filename"),
+        F.col("c_custkey").alias("size_bytes"),
+        F.lit(None).cast("string").alias("checksum"),
+        F.col("c_mktsegment").alias("error"),
+        (F.col("c_acctbal") >= 0).alias("good"),
+    )
+    started = ingest_log.start_attempts(files, "landed", RUN_AT)
+    ingest_log.append_events(started, path)
+    ended = datetime(2024, 1, 1, 1)
+    done = ingest_log.complete_attempts(started, files.where("good"), ended)
+    lost = ingest_log.fail_attempts(started, files.where("NOT good"), ended)
+    ingest_log.append_events(done.unionByName(lost), path)
+    events = ingest_log.read_events(spark, path)
+    tried = ingest_log.attempts(events).groupBy("filename").agg(
+        F.max("error").alias("error"), F.count("*").alias("n_attempts")
+    )
+    return ingest_log.latest_state(events).join(tried, "filename").select(
+        "filename", "status", "size_bytes", "error", "n_attempts"
+    )
+
+
 @query(
     "pending_files",
     with_sql(
@@ -1069,12 +1102,17 @@ def write_stage_once(spark, sf_dir):
 # --- streaming ----------------------------------------------------------------------------------
 
 
+def _hashed(column: str) -> str:
+    """A value as the hashed ids see it."""
+    return f"coalesce(length({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
 @query(
     "incremental_preparation",
     with_sql(
         X.CLEAN_SQL,
-        "SELECT dataset, first_name, middle_name, last_name, gender_code, birth_year, res_city_desc,"
-        " zip_code, county_desc FROM clean",
+        f"""SELECT sha256(concat_ws('|', {", ".join(_hashed(c) for c in ("dataset", *LINKAGE_COLUMNS))}))
+                     AS unique_id, dataset, {", ".join(LINKAGE_COLUMNS)} FROM clean""",
     ),
 )
 def incremental_preparation(spark, sf_dir):
@@ -1089,4 +1127,4 @@ def incremental_preparation(spark, sf_dir):
         )
         query = start_incremental(prepare_stream(X.voters_of(stream)), out, state)
         query.awaitTermination()
-    return spark.read.parquet(out).drop("unique_id")
+    return spark.read.parquet(out)

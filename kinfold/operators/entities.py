@@ -21,12 +21,18 @@ from kinfold.functions.similarity import similarity_keys
 from kinfold.operators.blocking import CELL_ROWS, Rule, hot_blocks, join_block
 from kinfold.operators.comparison import Comparison, add_letter_bits, compare
 from kinfold.operators.scoring import score
-from kinfold.operators.training import Model
+from kinfold.operators.training import Model, pattern_bound
 
 
-def _patterns(
-    model: Model, equal: Sequence[str], alike: Comparison
-) -> list[tuple[int, ...]]:
+MAX_PATTERNS = 100_000
+
+
+def can_enumerate(model: Model) -> bool:
+    """Whether the level patterns of the model are few enough to look at each."""
+    return pattern_bound(model.comparisons) <= MAX_PATTERNS
+
+
+def _patterns(model: Model, equal: Sequence[str], alike: Comparison) -> list[tuple[int, ...]]:
     """Level patterns of pairs that pass the strict filter, but for the probability."""
     choices = []
     for c in model.comparisons:

@@ -35,6 +35,7 @@ from kinfold.operators.comparison import (
     similar,
 )
 from kinfold.operators.entities import (
+    can_enumerate,
     fold_groups,
     group_edges,
     idle_comparisons,
@@ -42,7 +43,7 @@ from kinfold.operators.entities import (
     twins_match,
 )
 from kinfold.operators.identity import sample_exactly
-from kinfold.operators.mapping import drop_null_ids, stamp_run
+from kinfold.operators.mapping import drop_null_ids, stamp_run, union_all_by_name
 from kinfold.operators.scoring import predict, strict_matches
 from kinfold.operators.training import Model, estimate_prior, train_m, train_u
 from kinfold.session import materialize
@@ -110,8 +111,6 @@ def load_records(
     frames: Sequence[DataFrame], run_at: datetime, settings: MatchSettings = MatchSettings()
 ) -> DataFrame:
     """Consolidate prepared datasets: rows without id dropped, optionally sampled, stamped."""
-    from kinfold.operators.mapping import union_all_by_name
-
     records = drop_null_ids(union_all_by_name(list(frames)), settings.id_col)
     if settings.sample_size is not None:
         records = sample_exactly(records, settings.sample_size, id_col=settings.id_col)
@@ -166,7 +165,7 @@ def entity_labels(
     s = settings
     rules = widest_rules(s.rules)
     alike = next(c for c in model.comparisons if c.gamma == s.alike)
-    if len(rules) == 1 and alike.thresholds:
+    if len(rules) == 1 and alike.thresholds and can_enumerate(model):
         block = list(dict.fromkeys([*rules[0], *s.equal]))
         idle = idle_comparisons(model, s.match_at, block, alike)
         kept = tuple(c for c in model.comparisons if c not in idle)

@@ -1,7 +1,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from kinfold.operators import ingest_log as log
 from kinfold.operators import schema_log

@@ -2,14 +2,13 @@ import hashlib
 import io
 import json
 import zipfile
-from datetime import datetime
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from kinfold.sources.api_pages import explode_api_records
-from kinfold.sources.archives import explode_archives, member_type, parse_members, read_archives
+from kinfold.sources.archives import member_type, read_archives
 from kinfold.sources.delimited import Layout, find_layout, read_delimited
 from kinfold.sources.files import audit_paths, classify_files, list_files, sort_by_priority
 from kinfold.sources.json_records import json_kind, read_json
