@@ -718,7 +718,7 @@ def golden_ids(spark, sf_dir):
     ),
 )
 def sources_per_golden_id(spark, sf_dir):
-    return C.count_sources(linked(spark, sf_dir).golden)
+    return C.count_sources(linked(spark, sf_dir).golden_ids)
 
 
 @query(

@@ -73,14 +73,16 @@ def hot_blocks(rows: DataFrame, rule: Rule, cell_rows: int) -> DataFrame | None:
     return hot  # too many to broadcast: joined like any other table
 
 
-def join_block(rows: DataFrame, rule: Rule, once: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+def join_block(
+    rows: DataFrame, rule: Rule, once: str, cell_rows: int | None = CELL_ROWS
+) -> DataFrame:
     """Pairs of ``rows`` that agree on ``rule``, as columns with ``_l`` and ``_r``.
 
     ``once`` names the column that must be smaller on the left, so that a pair comes up once.
-    Rows need a ``profile_id``.
+    Rows need a ``profile_id``. Without ``cell_rows`` the caller knows that no block is hot.
     """
     known = rows.where(_known(rule))
-    hot = hot_blocks(known, rule, cell_rows)
+    hot = None if cell_rows is None else hot_blocks(known, rule, cell_rows)
     keys = list(rule)
     if hot is None:
         left = right = known

@@ -122,14 +122,14 @@ def similar_groups(
     """
     hot = hot_blocks(groups, block, cell_rows)
     if hot is None:
-        return join_block(groups, block, "profile_id", cell_rows)
+        return join_block(groups, block, "profile_id", None)
     keys = list(block)
     small = groups.join(hot.select(*keys), keys, "left_anti")
     large = groups.join(hot.select(*keys), keys, "left_semi").withColumn(
         "_key", F.explode(similarity_keys(alike.column, alike.thresholds[-1]))
     )
     by_key = join_block(large, [*keys, "_key"], "profile_id", cell_rows).drop("_key_l", "_key_r")
-    return join_block(small, block, "profile_id", cell_rows).unionByName(by_key)
+    return join_block(small, block, "profile_id", None).unionByName(by_key)
 
 
 def group_edges(
@@ -164,8 +164,9 @@ def spread_groups(
     components: DataFrame,
     columns: Sequence[str],
     id_col: str,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``component`` of every record.
+    """``component`` of every record, beside its id and the ``keep`` columns.
 
     A group that spans sources or has an edge is one entity, or part of one. Records of any other
     group stay alone: nothing in another source matches them.
@@ -182,5 +183,5 @@ def spread_groups(
     )
     on = reduce(lambda a, b: a & b, [records[c].eqNullSafe(marked[f"_g_{c}"]) for c in columns])
     return records.join(marked, on, "left").select(
-        id_col, F.coalesce("component", id_col).alias("component")
+        id_col, *keep, F.coalesce("component", id_col).alias("component")
     )

@@ -157,7 +157,7 @@ def compare_candidates(profiles: DataFrame, settings: MatchSettings) -> DataFram
 def entity_labels(
     people: DataFrame, profiles: DataFrame, model: Model, settings: MatchSettings
 ) -> DataFrame:
-    """Every record id with its ``component``, the smallest id of its entity.
+    """Every record id with its source and its ``component``, the smallest id of its entity.
 
     With an ordinary model the work is done on groups over all sources. If the model needs every
     comparison of every pair, profiles are compared pair by pair.
@@ -178,7 +178,7 @@ def entity_labels(
             )
             edges = group_edges(groups, block, small, s.match_at, alike, s.cell_rows)
             components = connected_components(edges)
-            return spread_groups(people, groups, components, columns, s.id_col)
+            return spread_groups(people, groups, components, columns, s.id_col, [s.source])
     matches = strict_matches(
         predict(compare_candidates(profiles, s), model, s.predict_at), s.match_at, s.equal, s.alike
     )
@@ -186,7 +186,7 @@ def entity_labels(
     columns = list(dict.fromkeys([s.source, *profile_columns(s)]))
     narrow = people.select(s.id_col, *columns)
     return spread_components(narrow, profiles, components, columns, s.id_col).select(
-        s.id_col, "component"
+        s.id_col, s.source, "component"
     )
 
 
@@ -225,23 +225,40 @@ class MatchResult:
         s = self.settings
         return strict_matches(self.predictions, s.match_at, s.equal, s.alike)
 
+    @cached_property
+    def golden_ids(self) -> DataFrame:
+        """Golden id, record id and source; written once, as every report starts from it."""
+        s = self.settings
+        labels = entity_labels(self.people, self.profiles, self.model, s)
+        return materialize(assign_golden_ids(labels, s.id_col), "golden")
+
     @cached_property
     def golden(self) -> DataFrame:
         """Every record with its golden id."""
         s = self.settings
-        labels = entity_labels(self.people, self.profiles, self.model, s)
-        numbered = assign_golden_ids(labels, s.id_col)
-        return stamp_run(attach_records(numbered, self.records, s.id_col), self.run_at)
+        ids = self.golden_ids.select("golden_id", s.id_col)
+        return stamp_run(attach_records(ids, self.records, s.id_col), self.run_at)
 
     @cached_property
     def multi_source(self) -> DataFrame:
-        """Members of the entities that occur in more than one source."""
-        return multi_source_report(self.golden, self.settings.source)
+        """Members of the entities that occur in more than one source.
+
+        Only ids are grouped and joined; the records of the members found come last.
+        """
+        s = self.settings
+        members = multi_source_report(self.golden_ids, s.source).drop(s.source)
+        found = members.join(self.records, s.id_col, "left").select(
+            "golden_id",
+            "county_count",
+            s.id_col,
+            *[c for c in self.records.columns if c != s.id_col],
+        )
+        return stamp_run(found, self.run_at)
 
     @cached_property
     def metrics(self) -> DataFrame:
         return run_metrics(
-            self.records, self.predictions, self.matches, self.golden, self.settings.source
+            self.records, self.predictions, self.matches, self.golden_ids, self.settings.source
         )
 
 
