@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.blocking import Rule, candidate_pairs
+from kinfold.operators.blocking import CELL_ROWS, Rule, candidate_pairs
 from kinfold.operators.comparison import Comparison, compare
 from kinfold.operators.identity import number_in_order, sample_exactly
 
@@ -227,11 +227,12 @@ def train_m(
     source: str = "county_desc",
     max_iterations: int = 25,
     tolerance: float = 1e-4,
+    cell_rows: int = CELL_ROWS,
 ) -> Model:
     """Learn m inside one training block; comparisons on the block's own columns keep theirs."""
     skipped = held_out(model.comparisons, rule)
     trained = [c for c in model.comparisons if c not in skipped]
-    pairs = candidate_pairs(profiles, [rule], source)
+    pairs = candidate_pairs(profiles, [rule], source, cell_rows)
     counts = count_patterns(compare(pairs, trained, ["n_pairs"]), trained)
     patterns = _read_patterns(counts, trained)
     fitted, _, _ = fit_m(

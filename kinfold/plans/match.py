@@ -142,6 +142,7 @@ def fit_model(profiles: DataFrame, people: DataFrame, settings: MatchSettings) -
         settings.source,
         settings.max_iterations,
         settings.tolerance,
+        settings.cell_rows,
     )
 
 

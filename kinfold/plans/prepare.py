@@ -11,7 +11,7 @@ from kinfold.operators.cleaning import VOTER_RULES, cleaning_columns
 from kinfold.operators.identity import add_sequential_ids
 from kinfold.operators.mapping import LINKAGE_COLUMNS, select_columns
 from kinfold.sources.delimited import POSITION, Layout, read_delimited
-from kinfold.sources.files import SourceFile, resolve
+from kinfold.sources.files import SourceFile, files_exist, resolve
 
 
 def prepare(raw: DataFrame, dataset: str, order: Sequence[str]) -> DataFrame:
@@ -41,7 +41,7 @@ def prepare_files(
     """
     todo: list[SourceFile] = [
         f
-        for f in resolve(spark, raw)
+        for f in (resolve(spark, raw) if files_exist(spark, raw) else [])
         if not _exists(spark, f"{out_dir}/dataset={PurePosixPath(f.path).stem}")
     ]
     if todo:

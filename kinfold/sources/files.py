@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,19 @@ def list_files(
     return reader.load(roots).select("path", "length", "modificationTime")
 
 
+def files_exist(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    patterns: Sequence[str] | None = None,
+    min_files: int = 1,
+) -> bool:
+    """Whether at least ``min_files`` files with content are there; a missing path has none."""
+    try:
+        return list_files(spark, paths, patterns).limit(min_files).count() >= min_files
+    except AnalysisException:
+        return False
+
+
 def resolve(spark: SparkSession, paths: str | Sequence[str]) -> list[SourceFile]:
     """The files below ``paths``; the driver lists them to plan any scan anyway."""
     roots = [paths] if isinstance(paths, str) else list(paths)

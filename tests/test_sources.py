@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kinfold.sources.api_pages import explode_api_records
 from kinfold.sources.archives import member_type, read_archives
 from kinfold.sources.delimited import Layout, find_layout, read_delimited
-from kinfold.sources.files import audit_paths, classify_files, list_files, sort_by_priority
+from kinfold.sources.files import audit_paths, classify_files, files_exist, list_files, sort_by_priority
 from kinfold.sources.json_records import json_kind, read_json
 from kinfold.sources.loader import load_dataframe
 from kinfold.sources.sinks import write_stage
@@ -209,6 +209,9 @@ def test_audit_paths(spark, frame, tmp_path):
     plan = sizes._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
     assert list_files(spark, str(tmp_path), ["a*", "b*"]).count() == 2
+    assert files_exist(spark, str(tmp_path), min_files=2)
+    assert not files_exist(spark, str(tmp_path), ["a*"], min_files=2)
+    assert not files_exist(spark, str(tmp_path / "nowhere"))
 
 
 def test_write_stage_keeps_what_is_there(spark, frame, tmp_path):

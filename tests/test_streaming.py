@@ -36,6 +36,7 @@ def test_stream_takes_only_new_files(spark, tmp_path):
 
 def test_prepare_files_skips_finished_datasets(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "ready")
+    assert prepare_files(spark, str(raw), out) is None
     raw.mkdir()
     write(raw / "c1.txt", [row(i, "Ann", "wake") for i in range(12)])
     first = prepare_files(spark, str(raw), out)
