@@ -147,12 +147,10 @@ def group_edges(
         & (F.col("first_source_r") == F.col("last_source_r"))
         & (F.col("first_source_l") == F.col("first_source_r"))
     )
-    gammas = compare(
-        pairs.where(~one_source), model.comparisons, ["profile_id_l", "profile_id_r"]
-    )
-    scored = score(gammas, model).where(
-        (F.col(alike.gamma) > 0) & (F.col("match_probability") >= threshold)
-    )
+    # few names are alike, so this test goes into the join and the rest follows for what is left
+    near = pairs.where(~one_source & (alike.level(pairs) > 0))
+    gammas = compare(near, model.comparisons, ["profile_id_l", "profile_id_r"])
+    scored = score(gammas, model).where(F.col("match_probability") >= threshold)
     return scored.select(
         F.col("profile_id_l").alias("src"), F.col("profile_id_r").alias("dst")
     )
