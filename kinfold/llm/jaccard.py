@@ -42,7 +42,7 @@ SHINGLE = 4
 PERCENT = 85
 BINS = 256  # counters of a sketch; their differences never exceed those of the sets
 _NO_ID = -(1 << 63)  # stands for a null doc_id
-_RATIO = 1.6  # of the largest to the smallest size of a band
+_RATIO = 1.6  # of the largest to the smallest size of a band, at least
 
 
 class _Bands:
@@ -50,13 +50,13 @@ class _Bands:
 
     def __init__(self, percent: int) -> None:
         self.percent = percent
+        self.ratio = max(_RATIO, 100 / percent)  # similar sets are in one band or in neighbours
 
-    @staticmethod
-    def low(band: np.ndarray) -> np.ndarray:
-        return np.ceil(_RATIO**band - 1e-9).astype(np.int64)
+    def low(self, band: np.ndarray) -> np.ndarray:
+        return np.ceil(self.ratio**band - 1e-9).astype(np.int64)
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
-        band = np.floor(np.log(np.maximum(sizes, 1)) / math.log(_RATIO)).astype(np.int64)
+        band = np.floor(np.log(np.maximum(sizes, 1)) / math.log(self.ratio)).astype(np.int64)
         band -= self.low(band) > sizes
         return band + (self.low(band + 1) <= sizes)
 
