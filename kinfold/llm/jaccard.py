@@ -9,14 +9,14 @@ Each sub-partition of a set, hashed, is one signature (Arasu et al. 2006, with n
 
 Sub-partitions without elements would be one huge bucket. With t partitions more, t + 1 partitions
 have that property, and a set with at most t incomplete partitions agrees in one that has elements.
-So a set signs with t = 0 and leaves empty ones out; if it has some, it signs with a larger t as well;
-and in the rare case that it has more than t then, once with the empty ones.
+So a set signs with some t and leaves empty ones out; in the rare case that it has more than t
+incomplete partitions it signs with a larger t as well, and if that fails, once with the empty ones.
 
-Equal sets are one vertex from the start. A bucket links its members to its smallest one only; pairs
-are verified with whole sets, the most promising ones first, and pairs of one component no more.
-In the end, members of one bucket in different components are compared pair by pair, by sketches
-that bound the difference of the sets from below, and what these leave is verified. That last step is
-quadratic, in block pairs, only in members that are alike in a sub-partition and still not connected.
+Equal sets are one vertex from the start. A bucket links its members to its smallest one first, and
+the most promising of these pairs are verified with whole sets. Then members of one bucket in different
+components are compared by sketches that bound the difference of two sets from below. What these leave
+is verified, the nearest pair of every set first, and never a pair of one component. Comparing
+sketches is quadratic, in block pairs, in members that are alike in a sub-partition and not connected.
 
 Defined results: null and empty texts have no shingle, link with nothing and are their own component;
 rows with one ``doc_id`` and different texts are rows of their own.
@@ -40,6 +40,7 @@ from kinfold.session import materialize
 
 SHINGLE = 4
 PERCENT = 85
+WAVES = 3  # that verify the nearest pair of every set, before all pairs that are left
 BINS = 256  # counters of a sketch; their differences never exceed those of the sets
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 _RATIO = 1.6  # of the largest to the smallest size of a band, at least
@@ -165,7 +166,8 @@ def signatures(
         k = bands.differences(band)
         base = np.where(signs & (k > 0), k // 2 + 1, 0)  # k = 0: only equal sets are similar
         more = 2 + base // 4
-        for salt, parts, slack in ((1, base, 0 * base), (2, base + more, more), (3, base, None)):
+        for salt, slack in ((1, more), (2, 4 * more), (3, None)):
+            parts = base if slack is None else base + slack
             parts = np.where(base > 0, parts, 0)
             owner, sign, empty = _sign(row, value, rows, band, parts, salt)
             keep = np.ones(len(sign), bool) if slack is None else ~empty
@@ -237,10 +239,10 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a, b``) that are similar enough, by their whole sets."""
     sides = [
-        sets.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("shingles").alias(f"s_{c}"))
+        full.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("shingles").alias(f"s_{c}"))
         for c in "ab"
     ]
     possible = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
@@ -253,30 +255,57 @@ def _labels(links: DataFrame) -> DataFrame:
     return materialize(connected_components(links, "a", "b"), "labels")
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``sig, sid, component`` of the buckets whose members are not in one component yet."""
+    labelled = members.select("sig", "sid").join(
+        labels.withColumnRenamed("vertex", "sid"), "sid", "left"
+    )
+    labelled = labelled.select("sig", "sid", F.coalesce("component", "sid").alias("component"))
+    labelled = materialize(labelled, "members")
+    parts = labelled.groupBy("sig").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    open_buckets = materialize(parts.where("low != high").select("sig"), "mixed")
+    return materialize(labelled.join(open_buckets, "sig"), "members")
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component yet."""
     for c in "ab":
         own = labels.select(F.col("vertex").alias(c), F.col("component").alias(f"c_{c}"))
         pairs = pairs.join(own, c, "left").withColumn(f"c_{c}", F.coalesce(f"c_{c}", c))
-    return pairs.where("c_a != c_b").drop("c_a", "c_b")
+    return materialize(pairs.where("c_a != c_b").drop("c_a", "c_b"), "pairs")
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """Of the pairs of every member the one with the nearest sketches."""
+    both = pairs.select(
+        "a", "b", "far", F.explode(F.array("a", "b")).alias("end")
+    )
+    best = both.groupBy("end").agg(F.min_by(F.struct("a", "b"), F.struct("far", "a", "b")).alias("p"))
+    return best.select("p.a", "p.b").distinct()
 
 
 def _near_pairs(percent: int):
-    """Pairs of a bucket in different components whose sketches do not rule a link out."""
+    """Pairs of a bucket in different components whose sketches do not rule a link out.
+
+    A pair is emitted in the first of its common buckets only.
+    """
+
+    def side(table: pa.Table):
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8)
+        return (
+            *(table.column(c).to_numpy() for c in ("sid", "n", "component")),
+            sketch.reshape(-1, BINS).astype(np.int16),
+            table.column("sigs").to_pylist(),
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()  # pairs a task has met before
         for left, right in units(batches, "sig"):
-            (sid_a, n_a, part_a, bins_a), (sid_b, n_b, part_b, bins_b) = (
-                (
-                    *(side.column(c).to_numpy() for c in ("sid", "n", "component")),
-                    np.frombuffer(b"".join(side.column("sketch").to_pylist()), np.uint8)
-                    .reshape(-1, BINS)
-                    .astype(np.int16),
-                )
-                for side in (left, right)
-            )
-            found = []
+            sid_a, n_a, part_a, bins_a, sigs_a = side(left)
+            sid_b, n_b, part_b, bins_b, sigs_b = side(right)
+            sig, found = left.column("sig")[0].as_py(), []
+            sets_b = [set(s) for s in sigs_b]
             for i in range(len(sid_a)):
                 total = n_a[i] + n_b
                 near = (part_b != part_a[i]) & (
@@ -286,37 +315,28 @@ def _near_pairs(percent: int):
                     near[: i + 1] = False
                 at = np.flatnonzero(near)
                 apart = np.abs(bins_b[at] - bins_a[i]).sum(axis=1)
-                for j in at[apart * (100 + percent) <= total[at] * (100 - percent)]:
-                    pair = (min(sid_a[i], sid_b[j]), max(sid_a[i], sid_b[j]))
-                    if pair not in seen:
-                        seen.add(pair)
-                        found.append(pair)
-            a, b = zip(*found, strict=True) if found else ((), ())
+                may = apart * (100 + percent) <= total[at] * (100 - percent)
+                for j, far in zip(at[may], (apart / total[at])[may], strict=True):
+                    if min(s for s in sigs_a[i] if s in sets_b[j]) == sig:
+                        found.append((sid_a[i], sid_b[j], far))
+            a, b, far = zip(*found, strict=True) if found else ((), (), ())
+            kinds = (pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+                [pa.array(v, k) for v, k in zip((a, b, far), kinds, strict=True)],
+                names=["a", "b", "far"],
             )
 
     return run
 
 
-def _mixed_pairs(buckets: DataFrame, labels: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket in different components that may be similar, each once."""
-    members = buckets.select("sig", "sid").unionByName(
-        buckets.select("sig", F.col("center").alias("sid")).distinct()
-    )
-    labelled = members.join(labels.withColumnRenamed("vertex", "sid"), "sid", "left").select(
-        "sig", "sid", F.coalesce("component", "sid").alias("component")
+def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """``a, b, far``: all pairs of a bucket in different components that may be similar, each once."""
+    sigs = mixed.groupBy("sid").agg(F.collect_set("sig").alias("sigs"))  # of one set: bounded by it
+    sketched = mixed.join(full.select("sid", "n", "sketch"), "sid").join(sigs, "sid")
+    dealt = block_pairs(materialize(sketched, "members"), "sig", "sid")
+    return materialize(
+        dealt.mapInArrow(_near_pairs(percent), "a long, b long, far double"), "pairs"
     )
-    labelled = materialize(labelled, "members")
-    mixed = labelled.groupBy("sig").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_buckets = materialize(mixed.where("low != high").select("sig"), "mixed")
-    sketched = materialize(
-        labelled.join(open_buckets, "sig").join(full.select("sid", "n", "sketch"), "sid"), "members"
-    )
-    pairs = block_pairs(sketched, "sig", "sid").mapInArrow(_near_pairs(percent), "a long, b long")
-    return pairs.distinct()
 
 
 def similar_documents(
@@ -344,9 +364,10 @@ def similar_documents(
     chosen = materialize(sets.join(examples, ["sid", "row"]).groupBy("row").agg(one), "wanted")
     named = some.withColumn("one", F.coalesce("doc_id", F.lit(_NO_ID)))
     members = named.join(chosen, ["row", "one"]).select("text")
-    full = bucketed(
-        members.mapInArrow(_sets(shingle, True), "n long, sid long, sketch binary, shingles binary"), "sid"
-    ).dropDuplicates(["sid"])
+    found = members.mapInArrow(
+        _sets(shingle, True), "n long, sid long, sketch binary, shingles binary"
+    )
+    full = bucketed(found.dropDuplicates(["sid"]), "sid")
 
     shared = F.count("*").alias("shared")
     pairs = buckets.groupBy(F.col("center").alias("a"), F.col("sid").alias("b")).agg(shared)
@@ -354,15 +375,17 @@ def similar_documents(
     first = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
     first = materialize(first.select("a", "b"), "pairs")
     links = _links(first, full, percent)
-    rest = materialize(
-        _apart(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), _labels(links)), "pairs"
-    )
-    links = links.unionByName(_links(rest, full, percent))
-    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     mixed = materialize(
-        _mixed_pairs(buckets, _labels(links), full, percent).join(done, ["a", "b"], "left_anti"), "pairs"
+        buckets.select("sig", "sid").unionByName(
+            buckets.select("sig", F.col("center").alias("sid")).distinct()
+        ),
+        "members",
     )
-    links = links.unionByName(_links(mixed, full, percent))
+    open_pairs = _mixed_pairs(_mixed(mixed, _labels(links)), full, percent)
+    for _ in range(WAVES):
+        links = links.unionByName(_links(_nearest(open_pairs), full, percent))
+        open_pairs = _apart(open_pairs, _labels(links))
+    links = links.unionByName(_links(open_pairs.select("a", "b"), full, percent))
 
     labels = _labels(links).withColumnRenamed("vertex", "sid")
     labelled = materialize(
