@@ -3,7 +3,7 @@
 Features are the distinct words, word pairs and pairs that skip one word of a whole text, hashed to
 ``BITS`` bits. Training uses per-coordinate learning rates and L1 sparsity (McMahan et al. 2013). It
 runs on at most ``MAX_LABELLED`` labelled rows, chosen by hashed id; that bound also bounds the
-weights. Each epoch, tasks continue from the shared state over their part of the rows, and a grouped
+weights. In each round, tasks continue from the shared state over their part of the rows, and a grouped
 mean over the coordinates merges them. The result is a sparse vector of at most 2^BITS weights, which
 is broadcast for scoring.
 
@@ -26,9 +26,11 @@ from kinfold.llm import words as wd
 from kinfold.session import materialize
 
 BITS = 20
-EPOCHS = 4
+ROUNDS = 4  # merges of the state
+PASSES = 1  # over the rows of a task, in every round
+FORGET = 0.5
 MAX_LABELLED = 40_000
-PARTS = 6  # tasks of an epoch; fixed, so that the weights do not depend on the cluster
+PARTS = 6  # tasks of a round; fixed, so that the weights do not depend on the cluster
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 3.0, 1.0
 
 
@@ -72,31 +74,41 @@ def _sigmoid(x: np.ndarray | float) -> np.ndarray | float:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _epoch(shared, bits: int):
-    """Continue FTRL from the shared state over one part of the rows; emit the state it changed."""
+def _round(shared, bits: int, passes: int):
+    """Continue FTRL from the shared state over one part of the rows; emit the state it changed.
+
+    Coordinates with next to no evidence (``|z| < FORGET``) are not emitted and start anew.
+    """
+
+    def learn(z: np.ndarray, n: np.ndarray, f: np.ndarray, label: int) -> None:
+        zf, nf = z[f], n[f]
+        root = np.sqrt(nf)
+        w = _weights(zf, root)
+        w[-1] = _bias(zf[-1], root[-1])
+        g = _sigmoid(float(w.sum())) - label  # every feature of a text has the value 1
+        nf += g * g
+        z[f] = zf + g - (np.sqrt(nf) - root) / ALPHA * w
+        n[f] = nf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, z0, n0 = shared.value
-        z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)  # the last one is the bias
+        bias = 1 << bits
+        z, n = np.zeros(bias + 1), np.zeros(bias + 1)
         z[index], n[index] = z0, n0
-        touched = np.zeros(len(z), bool)
-        bias = np.array([1 << bits])
+        rows: list[tuple[np.ndarray, int]] = []  # bounded by the number of labelled rows
         for whole in batches:
             for batch in wd.slices(whole, "text"):
                 row, feature = features(batch, bits)
                 first, after = wd.row_spans(row, batch.num_rows)
                 for r, label in enumerate(batch.column("toxic").to_pylist()):
-                    f = np.concatenate([feature[first[r] : after[r]], bias])
-                    zf, nf = z[f], n[f]
-                    root = np.sqrt(nf)
-                    w = _weights(zf, root)
-                    w[-1] = _bias(zf[-1], root[-1])
-                    g = _sigmoid(float(w.sum())) - label  # every feature of a text has the value 1
-                    nf += g * g
-                    z[f] = zf + g - (np.sqrt(nf) - root) / ALPHA * w
-                    n[f] = nf
-                    touched[f] = True
-        at = np.flatnonzero(touched)
+                    own = np.append(feature[first[r] : after[r]], bias).astype(np.int32)
+                    rows.append((own, label))
+        for _ in range(passes):
+            for own, label in rows:
+                learn(z, n, own, label)
+        keep = np.abs(z) >= FORGET
+        keep[bias] = bool(rows)
+        at = np.flatnonzero(keep)
         for a in range(0, len(at), 1 << 16):
             own = at[a : a + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
@@ -132,17 +144,18 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     bits: int = BITS,
-    epochs: int = EPOCHS,
+    rounds: int = ROUNDS,
+    passes: int = PASSES,
     max_labelled: int = MAX_LABELLED,
 ) -> Model:
     """Train on the documents of ``labels`` (``doc_id, toxic``); conflicting labels are left out."""
     spark = docs.sparkSession
     rows = materialize(_training_rows(docs, labels, max_labelled), "toxicity")
     state = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
-    for _ in range(epochs):
+    for _ in range(rounds):
         shared = spark.sparkContext.broadcast(state)
         changed = (
-            rows.mapInArrow(_epoch(shared, bits), "feature int, z double, n double")
+            rows.mapInArrow(_round(shared, bits, passes), "feature int, z double, n double")
             .groupBy("feature")
             .agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
             .toArrow()  # a row per coordinate, 2^bits + 1 at most
