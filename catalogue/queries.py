@@ -389,7 +389,7 @@ def row_cap_per_group(spark, sf_dir):
 
 WORD_PAIRS_SQL = """
 pairs AS (
-  SELECT doc_id, w[1] AS word_l, w[2] AS word_r
+  SELECT doc_id, unnest(w[1:len(w) - 1]) AS word_l, unnest(w[2:len(w)]) AS word_r
   FROM (SELECT doc_id, string_split_regex(trim(regexp_replace(lower(text), '[^a-z]+', ' ', 'g')), ' ') AS w
         FROM documents)
   WHERE len(w) >= 2
@@ -397,12 +397,15 @@ pairs AS (
 
 
 def word_pairs(spark, sf_dir):
+    """All pairs of neighbouring words of every text."""
+    pair = lambda i: F.struct(F.col("_w")[i - 1].alias("word_l"), F.col("_w")[i].alias("word_r"))
     words = F.split(F.trim(F.regexp_replace(F.lower("text"), "[^a-z]+", " ")), " ")
     return (
         X.table(spark, sf_dir, "documents")
         .withColumn("_w", words)
         .where(F.size("_w") >= 2)
-        .select("doc_id", F.col("_w")[0].alias("word_l"), F.col("_w")[1].alias("word_r"))
+        .select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("_w") - 1), pair)).alias("p"))
+        .select("doc_id", "p.word_l", "p.word_r")
     )
 
 

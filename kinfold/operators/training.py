@@ -243,19 +243,23 @@ def train_m(
 
 def random_pairs(
     records: DataFrame,
-    sample_size: int,
+    sample_size: int | None,
     partners: int,
     columns: Sequence[str],
     source: str = "county_desc",
     id_col: str = "unique_id",
     seed: int = 42,
 ) -> DataFrame:
-    """Random cross-source pairs: a hashed sample in hash order, each with the next ``partners``.
+    """Random cross-source pairs: records in hash order, each with the next ``partners``.
+
+    ``sample_size`` takes that many records of the smallest hashes instead of all of them.
 
     The hash order is random with respect to the data, so neighbours in it are random pairs; the
     pairing is an equi-join on the position.
     """
-    sample = sample_exactly(records, sample_size, seed, id_col)
+    sample = records
+    if sample_size is not None:
+        sample = sample_exactly(records, sample_size, seed, id_col)
     hashed = sample.withColumn(
         "_hash", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")).cast("binary"))
     )
@@ -272,7 +276,7 @@ def random_pairs(
 def train_u(
     records: DataFrame,
     model: Model,
-    sample_size: int = 100_000,
+    sample_size: int | None = None,
     partners: int = 10,
     source: str = "county_desc",
     id_col: str = "unique_id",

@@ -52,16 +52,25 @@ def ingest_files(
         "filename", F.col("size").alias("size_bytes"), F.col("sha256").alias("checksum")
     )
     bad = checked.where("NOT ok").select("filename", F.col("reason").alias("error"))
-    log.append_events(
-        started.unionByName(log.complete_attempts(started, good, at)).unionByName(
-            log.fail_attempts(started, bad, at)
-        ),
-        events_path,
-    )
+    log.append_events(started.unionByName(log.fail_attempts(started, bad, at)), events_path)
     ready = pending.join(good, "filename", "left_semi").select("path").collect()  # a file list
     if not ready:
         return Ingested(None, None, None)
-    table = load_dataframe(spark, [r["path"] for r in ready])
+    try:
+        table, snapshot, changes = _load(
+            spark, [r["path"] for r in ready], schemas_path, dataset, version, at, source
+        )
+    except Exception as error:
+        lost = good.select("filename", F.lit(f"{type(error).__name__}: {error}"[:500]).alias("error"))
+        log.append_events(log.fail_attempts(started, lost, at), events_path)
+        raise
+    log.append_events(log.complete_attempts(started, good, at), events_path)
+    return Ingested(table, snapshot, changes)
+
+
+def _load(spark, paths, schemas_path, dataset, version, at, source):
+    """Read the files, register their schema and compare it with the one before."""
+    table = load_dataframe(spark, paths)
     snapshot = schema_log.extract_schema(table, dataset, version, at, source=source)
     past = _or_none(lambda: schema_log.history(spark, schemas_path))
     changes = None
@@ -70,7 +79,7 @@ def ingest_files(
         if not schema_log.is_empty(before):
             changes = schema_log.diff_schemas(schema_log.latest_snapshots(before), snapshot)
     schema_log.register(snapshot, schemas_path)
-    return Ingested(table, snapshot, changes)
+    return table, snapshot, changes
 
 
 def _or_none(read):

@@ -81,6 +81,8 @@ class MatchSettings:
     alike: str = "gamma_last_name"
     empty_as_null: bool = True
     learn_u: bool = False
+    u_records: int | None = None  # records that u is learned from; None: all
+    u_partners: int = 10  # random partners of each
     max_iterations: int = 25
     tolerance: float = 1e-4
     sample_size: int | None = None
@@ -134,7 +136,9 @@ def fit_model(profiles: DataFrame, people: DataFrame, settings: MatchSettings) -
     found = estimate_prior(profiles, settings.prior_rules, settings.recall, settings.source)
     model = Model.start(settings.comparisons, found.first()["prior"])
     if settings.learn_u:
-        model = train_u(people, model, source=settings.source, id_col=settings.id_col)
+        model = train_u(
+            people, model, settings.u_records, settings.u_partners, settings.source, settings.id_col
+        )
     return train_m(
         profiles,
         model,
@@ -165,19 +169,22 @@ def entity_labels(
     """
     s = settings
     rules = widest_rules(s.rules)
-    alike = next(c for c in model.comparisons if c.gamma == s.alike)
+    alike = next((c for c in model.comparisons if c.gamma == s.alike), None)
+    if alike is None:
+        raise ValueError(f"no comparison is named {s.alike}, which decides strict matches")
+    link_at = max(s.predict_at, s.match_at)  # a match is a prediction first
     if len(rules) == 1 and alike.thresholds and can_enumerate(model):
         block = list(dict.fromkeys([*rules[0], *s.equal]))
-        idle = idle_comparisons(model, s.match_at, block, alike)
+        idle = idle_comparisons(model, link_at, block, alike)
         kept = tuple(c for c in model.comparisons if c not in idle)
         small = replace(model, comparisons=kept)
-        if alike.column not in block and twins_match(small, s.match_at, block, alike):
+        if alike.column not in block and twins_match(small, link_at, block, alike):
             columns = list(dict.fromkeys([*block, alike.column, *compared_columns(kept)]))
             groups = materialize(
                 fold_groups(profiles, columns, [*block, alike.column], s.source, "profile_id"),
                 "groups",
             )
-            edges = group_edges(groups, block, small, s.match_at, alike, s.cell_rows)
+            edges = group_edges(groups, block, small, link_at, alike, s.cell_rows)
             components = connected_components(edges)
             return spread_groups(people, groups, components, columns, s.id_col, [s.source])
     matches = strict_matches(
@@ -269,8 +276,11 @@ def match_records(
     """Link ``records`` across sources: fold them into profiles and train the model.
 
     The profiles are written once to the scratch folder; they feed the prior, the training, the
-    entities and the predictions.
+    entities and the predictions. Record ids must be unique, since reports join records by them.
     """
+    ids = records.groupBy(settings.id_col).count().where("count > 1")
+    if repeated := ids.take(1):
+        raise ValueError(f"{settings.id_col} {repeated[0][0]!r} is not unique; number the records first")
     people = normalise_people(records, settings.empty_as_null)
     profiles = materialize(build_profiles(people, settings), "profiles")
     model = fit_model(profiles, people, settings)

@@ -94,3 +94,18 @@ def test_ingest_flow(spark, tmp_path):
     assert state == {"a.csv": "completed", "b.csv": "completed", "empty.csv": "failed"}
     redo = ingest_files(spark, str(land / "*.csv"), version=3, at=at(3), overwrite=True, **args)
     assert redo.table.count() == 2
+
+
+def test_file_that_fails_to_load_is_retried(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.csv").write_text("only one column\n1\n")
+    args = dict(
+        source="s", dataset="d", events_path=str(tmp_path / "e"), schemas_path=str(tmp_path / "s")
+    )
+    with pytest.raises(Exception):  # noqa: B017
+        ingest_files(spark, str(land), version=1, at=at(0), **args)
+    states = {r.filename: r.status for r in log.latest_state(log.read_events(spark, args["events_path"])).collect()}
+    assert states == {"a.csv": "failed"}
+    (land / "a.csv").write_text("x,y\n1,2\n")
+    assert ingest_files(spark, str(land), version=1, at=at(1), **args).table.count() == 1
