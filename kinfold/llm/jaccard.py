@@ -329,8 +329,20 @@ def _near_pairs(percent: int):
     return run
 
 
+def _distinct_buckets(mixed: DataFrame) -> DataFrame:
+    """One of the buckets that have the same members: they bring the same pairs together."""
+    shape = [
+        *(F.bit_xor(F.xxhash64("sid", F.lit(i))).alias(f"x{i}") for i in (0, 1)),
+        F.count("*").alias("size"),
+    ]
+    shapes = mixed.distinct().groupBy("sig").agg(*shape)
+    kept = shapes.groupBy("x0", "x1", "size").agg(F.min("sig").alias("sig")).select("sig")
+    return materialize(mixed.distinct().join(materialize(kept, "mixed"), "sig"), "members")
+
+
 def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """``a, b, far``: all pairs of a bucket in different components that may be similar, each once."""
+    mixed = _distinct_buckets(mixed)
     sigs = mixed.groupBy("sid").agg(F.collect_set("sig").alias("sigs"))  # of one set: bounded by it
     sketched = mixed.join(full.select("sid", "n", "sketch"), "sid").join(sigs, "sid")
     dealt = block_pairs(materialize(sketched, "members"), "sig", "sid")
@@ -367,7 +379,7 @@ def similar_documents(
     found = members.mapInArrow(
         _sets(shingle, True), "n long, sid long, sketch binary, shingles binary"
     )
-    full = bucketed(found.dropDuplicates(["sid"]), "sid")
+    full = bucketed(found, "sid")  # repeated rows give a set twice, which changes no link
 
     shared = F.count("*").alias("shared")
     pairs = buckets.groupBy(F.col("center").alias("a"), F.col("sid").alias("b")).agg(shared)
