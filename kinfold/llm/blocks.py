@@ -35,6 +35,33 @@ def block_pairs(rows: DataFrame, group: str, row_id: str, block_rows: int = BLOC
     return paired.repartition(*keys).sortWithinPartitions(*keys)
 
 
+def whole_units(
+    batches: Iterator[pa.RecordBatch], group: str
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Many whole block pairs at a time, and for every row the row after its unit's last one."""
+    held: list[pa.RecordBatch] = []  # of one unit, between batches
+
+    def bounds(table: pa.Table) -> np.ndarray:
+        change = np.zeros(table.num_rows - 1, bool)
+        for values in (table.column(c).to_numpy() for c in (group, "_i", "_j")):
+            change |= values[1:] != values[:-1]
+        return np.r_[0, np.flatnonzero(change) + 1, table.num_rows]
+
+    def unit_ends(starts: np.ndarray) -> np.ndarray:
+        return np.repeat(starts[1:], np.diff(starts))
+
+    for batch in batches:
+        if batch.num_rows:
+            table = pa.Table.from_batches([*held, batch])
+            starts = bounds(table)
+            if len(starts) > 2:
+                yield table.slice(0, starts[-2]), unit_ends(starts[:-1])
+            held = table.slice(starts[-2]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, unit_ends(bounds(table))
+
+
 def units(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[tuple[pa.Table, pa.Table]]:
     """The two sides of each block pair (the same table twice for a block with itself)."""
     held: list[pa.RecordBatch] = []

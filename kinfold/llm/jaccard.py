@@ -33,15 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm import words as wd
-from kinfold.llm.blocks import block_pairs, units
+from kinfold.llm.blocks import block_pairs, whole_units
 from kinfold.llm.tables import bucketed, documents
 from kinfold.operators.clusters import connected_components
 from kinfold.session import materialize
 
 SHINGLE = 4
 PERCENT = 85
-WAVES = 3  # that verify the nearest pair of every set, before all pairs that are left
+WAVES = 1  # that verify the nearest pair of every set, before all pairs that are left
 BINS = 256  # counters of a sketch; their differences never exceed those of the sets
+COARSE_BINS = 32  # of a folded sketch
+PAIRS_AT_ONCE = 200_000  # compared with array operations; bounds the memory, not the result
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 _RATIO = 1.6  # of the largest to the smallest size of a band, at least
 
@@ -289,42 +291,49 @@ def _nearest(pairs: DataFrame) -> DataFrame:
 def _near_pairs(percent: int):
     """Pairs of a bucket in different components whose sketches do not rule a link out.
 
-    A pair is emitted in the first of its common buckets only.
+    Sketches are compared with their bins folded first: folding never enlarges a difference.
     """
 
-    def side(table: pa.Table):
+    def possible(far: np.ndarray, total: np.ndarray) -> np.ndarray:
+        return far.astype(np.int64) * (100 + percent) <= total * (100 - percent)
+
+    def compare(table: pa.Table, end: np.ndarray) -> pa.RecordBatch:
+        sid, n, part, own, i_block, j_block = (
+            table.column(c).to_numpy() for c in ("sid", "n", "component", "_own", "_i", "_j")
+        )
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8)
-        return (
-            *(table.column(c).to_numpy() for c in ("sid", "n", "component")),
-            sketch.reshape(-1, BINS).astype(np.int16),
-            table.column("sigs").to_pylist(),
+        sketch = sketch.reshape(-1, BINS)
+        coarse = sketch.reshape(len(sid), COARSE_BINS, -1).sum(axis=2, dtype=np.int16)
+        partners = end - np.arange(len(sid)) - 1
+        before = np.r_[0, np.cumsum(partners)]
+        found, first = [], 0
+        while first < len(sid):
+            last = int(np.searchsorted(before, before[first] + PAIRS_AT_ONCE, "right")) - 1
+            last = max(first + 1, last)
+            i = np.repeat(np.arange(first, last), partners[first:last])
+            j = np.arange(len(i)) - (before[i] - before[first]) + i + 1
+            near = (part[i] != part[j]) & ((own[i] != own[j]) | (i_block[i] == j_block[i]))
+            near &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[near], j[near]
+            may = possible(np.abs(coarse[i] - coarse[j]).sum(axis=1), n[i] + n[j])
+            i, j = i[may], j[may]
+            apart = np.maximum(sketch[i], sketch[j]) - np.minimum(sketch[i], sketch[j])
+            apart, total = apart.sum(axis=1, dtype=np.int64), n[i] + n[j]
+            may = possible(apart, total)
+            low, high = np.minimum(sid[i], sid[j])[may], np.maximum(sid[i], sid[j])[may]
+            found.append((low, high, (apart / np.maximum(total, 1))[may]))
+            first = last
+        a, b, far = (np.concatenate(column) for column in zip(*found, strict=True))
+        order = np.lexsort((b, a))
+        a, b, far = a[order], b[order], far[order]
+        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a[new]), pa.array(b[new]), pa.array(far[new])], names=["a", "b", "far"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for left, right in units(batches, "sig"):
-            sid_a, n_a, part_a, bins_a, sigs_a = side(left)
-            sid_b, n_b, part_b, bins_b, sigs_b = side(right)
-            sig, found = left.column("sig")[0].as_py(), []
-            sets_b = [set(s) for s in sigs_b]
-            for i in range(len(sid_a)):
-                total = n_a[i] + n_b
-                near = (part_b != part_a[i]) & (
-                    100 * np.minimum(n_a[i], n_b) >= percent * np.maximum(n_a[i], n_b)
-                )
-                if left is right:
-                    near[: i + 1] = False
-                at = np.flatnonzero(near)
-                apart = np.abs(bins_b[at] - bins_a[i]).sum(axis=1)
-                may = apart * (100 + percent) <= total[at] * (100 - percent)
-                for j, far in zip(at[may], (apart / total[at])[may], strict=True):
-                    if min(s for s in sigs_a[i] if s in sets_b[j]) == sig:
-                        found.append((sid_a[i], sid_b[j], far))
-            a, b, far = zip(*found, strict=True) if found else ((), (), ())
-            kinds = (pa.int64(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip((a, b, far), kinds, strict=True)],
-                names=["a", "b", "far"],
-            )
+        for table, end in whole_units(batches, "sig"):
+            yield compare(table, end)
 
     return run
 
@@ -343,12 +352,10 @@ def _distinct_buckets(mixed: DataFrame) -> DataFrame:
 def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """``a, b, far``: all pairs of a bucket in different components that may be similar, each once."""
     mixed = _distinct_buckets(mixed)
-    sigs = mixed.groupBy("sid").agg(F.collect_set("sig").alias("sigs"))  # of one set: bounded by it
-    sketched = mixed.join(full.select("sid", "n", "sketch"), "sid").join(sigs, "sid")
+    sketched = mixed.join(full.select("sid", "n", "sketch"), "sid")
     dealt = block_pairs(materialize(sketched, "members"), "sig", "sid")
-    return materialize(
-        dealt.mapInArrow(_near_pairs(percent), "a long, b long, far double"), "pairs"
-    )
+    near = dealt.mapInArrow(_near_pairs(percent), "a long, b long, far double")
+    return materialize(near.groupBy("a", "b").agg(F.min("far").alias("far")), "pairs")
 
 
 def similar_documents(
