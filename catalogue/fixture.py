@@ -21,16 +21,19 @@ def raw_voters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def voters_of(documents: DataFrame) -> DataFrame:
-    words = F.split(F.trim("text"), SPLIT, 4)  # three words and the rest
+    """Names are the first, the longest and the last word of the whole text."""
+    words = F.split(F.trim("text"), SPLIT)
+    longest = F.array_max(
+        F.transform("_words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
+    )
     return (
         documents.withColumn("_words", words)
         .select(
             "doc_id",
             F.col("source").alias("dataset"),
-            *[
-                F.get("_words", F.lit(i)).alias(c)
-                for i, c in enumerate(("first_name", "middle_name", "last_name"))
-            ],
+            F.element_at("_words", 1).alias("first_name"),
+            longest["w"].alias("middle_name"),
+            F.element_at("_words", -1).alias("last_name"),
             F.upper("lang").alias("gender_code"),
             (F.lit(1900) + F.least(F.floor(F.col("n_chars") / 500), F.lit(100)))
             .cast("string")
@@ -47,7 +50,8 @@ def voters_of(documents: DataFrame) -> DataFrame:
 RAW_SQL = """
 raw AS (
   SELECT doc_id, source AS dataset,
-         w[1] AS first_name, w[2] AS middle_name, w[3] AS last_name,
+         w[1] AS first_name, w[-1] AS last_name,
+         list_max(list_transform(w, lambda x: {'n': length(x), 'w': x})).w AS middle_name,
          upper(lang) AS gender_code,
          CAST(1900 + least(floor(n_chars / 500), 100) AS INT)::VARCHAR AS birth_year,
          ' City ' || (doc_id % 50) AS res_city_desc,

@@ -57,8 +57,8 @@ def connected_components(
     """``vertex``, ``component`` for every vertex that has an edge; the smallest id is the name.
 
     Alternates large-star and small-star (Kiveris et al. 2014): every step is a grouped minimum,
-    pre-aggregated in the map tasks, and a join with one row per vertex, which adaptive execution
-    can split for a hub. Each round is written to the scratch folder.
+    pre-aggregated in the map tasks, and a join with one row per vertex. A hub is not split: its
+    edges meet in one task of that join. Each round is written to the scratch folder.
     """
     current = materialize(
         _edge_set(
