@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from kinfold.operators.cleaning import VOTER_RULES, cleaning_columns
 from kinfold.operators.identity import add_sequential_ids
@@ -28,6 +29,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def _prepared(spark: SparkSession, out_dir: str) -> DataFrame:
+    """What is there; dataset names such as ``001`` are not read as numbers."""
+    found = spark.read.parquet(out_dir).schema
+    name = T.StructField("dataset", T.StringType())
+    schema = T.StructType([name if f.name == "dataset" else f for f in found])
+    return spark.read.schema(schema).parquet(out_dir)
+
+
 def prepare_files(
     spark: SparkSession,
     raw: str | Sequence[str],
@@ -39,16 +48,19 @@ def prepare_files(
     Files already prepared are not read again. Every dataset is one partition folder, so a later
     run sees what is done. Returns None if there is nothing at all.
     """
+    done: set[str] = set()
+    if _exists(spark, out_dir):  # one name per file that was prepared
+        done = {r.dataset for r in _prepared(spark, out_dir).select("dataset").distinct().collect()}
     todo: list[SourceFile] = [
         f
         for f in (resolve(spark, raw) if files_exist(spark, raw) else [])
-        if not _exists(spark, f"{out_dir}/dataset={PurePosixPath(f.path).stem}")
+        if PurePosixPath(f.path).stem not in done
     ]
     if todo:
         table = read_delimited(spark, [f.path for f in todo], layout=layout, position=True)
         prepare(table, "dataset", POSITION).write.mode("append").partitionBy("dataset").parquet(
             out_dir
         )
-    elif not _exists(spark, out_dir):
+    elif not done:
         return None
-    return spark.read.parquet(out_dir)
+    return _prepared(spark, out_dir)

@@ -49,3 +49,13 @@ def test_prepare_files_skips_finished_datasets(spark, tmp_path):
     assert prepare_files(spark, str(raw), out).count() == 14
     order = {r["unique_id"]: r["zip_code"] for r in both.where("dataset = 'c1'").collect()}
     assert [order[f"c1_{i + 1}"] for i in range(12)] == [f"2760{i % 10}" for i in range(12)]
+
+
+def test_prepare_files_keeps_odd_dataset_names(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "ready")
+    raw.mkdir()
+    for name in ("a=b", "001"):
+        write(raw / f"{name}.txt", [row(i, "Ann", "wake") for i in range(3)])
+    for _ in range(2):  # the second run finds both datasets done
+        got = prepare_files(spark, str(raw), out).select("dataset", "unique_id").collect()
+        assert sorted(got) == [(n, f"{n}_{i}") for n in ("001", "a=b") for i in (1, 2, 3)]
