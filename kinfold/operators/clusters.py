@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.operators.identity import number_in_order
@@ -16,15 +16,30 @@ def _edge_set(df: DataFrame) -> DataFrame:
     return df.where(F.col("a") != F.col("b")).dropDuplicates(["a", "b"])
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a vertex to the smallest vertex around it."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("_low"))
-    low = low.select("a", F.least("a", "_low").alias("_low"))
-    # one row per edge, as only its larger end is linked anew
-    return both.join(low, "a").where(F.col("b") > F.col("a")).select(
-        F.col("b").alias("a"), F.col("_low").alias("b")
-    )
+def _lowest(edges: DataFrame, *more: Column) -> DataFrame:
+    """Per vertex ``a`` its smallest neighbour ``_low``, as a table of its own.
+
+    A join with that table is planned by its true size: small ones are broadcast, and otherwise both
+    sides are plain shuffles, whose large partitions (the edges of a hub) adaptive execution splits.
+    """
+    return materialize(edges.groupBy("a").agg(F.min("b").alias("_low"), *more), "lowest")
+
+
+def _lead_to_lowest(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """Every neighbour ``b`` of a vertex, linked to the smallest vertex around that one."""
+    return edges.join(low, "a").select(F.col("b").alias("a"), F.least("a", "_low").alias("b"))
+
+
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+
+
+def _large_star(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """Link every larger neighbour of a vertex to the smallest vertex around it.
+
+    One row per edge is enough, as only its larger end is linked anew.
+    """
+    return _lead_to_lowest(_turned(edges), low)
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -32,33 +47,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
     Every edge leads to a smaller vertex already, which a large star leaves behind.
     """
-    low = edges.groupBy("a").agg(F.min("b").alias("_low"))
-    others = edges.join(low, "a").select(F.col("b").alias("a"), F.col("_low").alias("b"))
+    low = _lowest(edges)
+    others = _lead_to_lowest(edges, low)
     return _edge_set(others.unionByName(low.select("a", F.col("_low").alias("b"))))
 
 
-def _all_stars(edges: DataFrame) -> bool:
-    """Whether every vertex has one link and no link leads to a vertex that links on."""
-    ends = F.explode(
-        F.array(
-            F.struct(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")),
-            F.struct(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")),
-        )
-    ).alias("e")
-    degrees = edges.select(ends).groupBy("e.v").agg(
-        F.sum("e.up").alias("up"), F.max("e.down").alias("down")
-    )
-    return degrees.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
-
-
 def connected_components(
     edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100
 ) -> DataFrame:
     """``vertex``, ``component`` for every vertex that has an edge; the smallest id is the name.
 
     Alternates large-star and small-star (Kiveris et al. 2014): every step is a grouped minimum,
-    pre-aggregated in the map tasks, and a join with one row per vertex. A hub is not split: its
-    edges meet in one task of that join. Each round is written to the scratch folder.
+    pre-aggregated in the map tasks, and a join with the table of these minima, which does not keep
+    the edges of a hub together. Each step is written to the scratch folder. A round's minima also
+    tell whether every vertex has one link and no link leads to a vertex that links on.
     """
     current = materialize(
         _edge_set(
@@ -66,16 +68,16 @@ def connected_components(
         ),
         "edges",
     )
+    up = F.count_if(F.col("b") < F.col("a")).alias("_up")
+    down = F.count_if(F.col("b") > F.col("a")).alias("_down")
     for _ in range(max_rounds):
-        if _all_stars(current):
+        low = _lowest(current.unionByName(_turned(current)), up, down)
+        if low.where("_up > 1 OR (_up > 0 AND _down > 0)").isEmpty():
             break
-        current = materialize(_small_star(_large_star(current)), "edges")
+        current = materialize(_small_star(materialize(_large_star(current, low), "edges")), "edges")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    roots = current.select(F.col("b").alias("vertex")).distinct()
-    return current.select(F.col("a").alias("vertex"), F.col("b").alias("component")).unionByName(
-        roots.select("vertex", F.col("vertex").alias("component"))
-    )
+    return low.select(F.col("a").alias("vertex"), F.least("a", "_low").alias("component"))
 
 
 def label_vertices(vertices: DataFrame, components: DataFrame, id_col: str) -> DataFrame:
@@ -134,8 +136,11 @@ def multi_source_ids(golden: DataFrame, source: str = "county_desc") -> DataFram
 
 
 def multi_source_report(golden: DataFrame, source: str = "county_desc") -> DataFrame:
-    """All member rows of the entities that occur in more than one source."""
-    wide = multi_source_ids(golden, source)
+    """All member rows of the entities that occur in more than one source.
+
+    The ids are a table of their own, so that a giant entity can be split in the join.
+    """
+    wide = materialize(multi_source_ids(golden, source), "wide")
     return wide.join(golden, "golden_id", "left").select("golden_id", "county_count", *[
         c for c in golden.columns if c != "golden_id"
     ])

@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from kinfold.operators import clusters as C
+from kinfold.session import materialize
 
 
 def union_find(edges):
@@ -47,6 +49,28 @@ def test_components_equal_union_find(spark, name):
     assert len(rows) == len(want) and dict(rows) == want
 
 
+def test_the_edges_of_a_hub_are_split(spark):
+    """The join of a round spreads one vertex over several tasks."""
+    own = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
+    try:
+        hub = spark.range(1, 200_000, 1, 16).select(F.col("id").alias("a"), F.lit(0).alias("b"))
+        edges = materialize(hub, "hub")
+        star = C._large_star(edges, C._lowest(edges.unionByName(C._turned(edges))))
+        assert len(star.collect()) == 199_999
+        assert "skew=true" in star._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_vertices_and_golden_ids(spark):
     components = C.connected_components(
         spark.createDataFrame([("d", "b"), ("c", "e")], "src string, dst string")
