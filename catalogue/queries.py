@@ -273,7 +273,7 @@ def apply_mapping(spark, sf_dir):
 @query("identity_mapping", "SELECT * FROM nation")
 def identity_mapping(spark, sf_dir):
     nation = X.table(spark, sf_dir, "nation")
-    return mapping.apply_mapping(nation, mapping.infer_identity_mapping(nation))
+    return mapping.apply_mapping(nation)
 
 
 @query(

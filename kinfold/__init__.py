@@ -11,9 +11,8 @@ from kinfold.operators.identity import (
 )
 from kinfold.operators.mapping import (
     apply_mapping,
-    infer_identity_mapping,
+    mapping_problems,
     union_all_by_name,
-    validate_mapping,
 )
 from kinfold.operators.schema_log import diff_schemas, extract_schema
 from kinfold.plans.ingest import ingest_files
@@ -41,7 +40,7 @@ __all__ = [
     "diff_schemas",
     "exact",
     "extract_schema",
-    "infer_identity_mapping",
+    "mapping_problems",
     "ingest_files",
     "load_dataframe",
     "load_records",
@@ -57,5 +56,4 @@ __all__ = [
     "sample_exactly",
     "similar",
     "union_all_by_name",
-    "validate_mapping",
 ]

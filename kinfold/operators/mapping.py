@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The columns that record linkage works on.
 LINKAGE_COLUMNS = (
@@ -26,31 +28,43 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def validate_mapping(mapping: Mapping[str, str]) -> None:
-    """A mapping is a non-empty dict from target name to source name."""
-    if not isinstance(mapping, Mapping):
-        raise ValueError("a mapping must be a dict")
-    if not mapping:
-        raise ValueError("a mapping must not be empty")
-    wrong = [k for k, v in mapping.items() if not (isinstance(k, str) and isinstance(v, str))]
-    if wrong:
-        raise ValueError(f"mapping keys and values must be strings: {wrong}")
-
-
-def apply_mapping(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Select the mapped columns, in mapping order and under their target names."""
-    validate_mapping(mapping)
-    missing = [source for source in mapping.values() if source not in df.columns]
-    if missing:
-        raise ValueError(f"mapping names columns that do not exist: {missing}")
+def mapping_problems(mapping: Mapping[str, str], schema: T.StructType) -> list[str]:
+    """All that keeps ``mapping`` (source by target) from being applied to rows of ``schema``.
+
+    Decided from names alone, before any job; without problems the list is empty.
+    """
+    if not isinstance(mapping, Mapping) or not mapping:
+        return [f"{mapping!r} names no target column with its source"]
+    sources = Counter(schema.names)
+    spellings = Counter(str(target).lower() for target in mapping)
+
+    def of(target: object, source: object) -> Iterator[str]:
+        if not isinstance(target, str) or not isinstance(source, str):
+            yield "a name is a string"
+        elif sources[source] != 1:
+            yield "several columns have that name" if sources[source] else "no column has that name"
+        if spellings[str(target).lower()] > 1:
+            yield "another target differs only in case"
+
+    return [
+        f"{target!r} from {source!r}: {problem}"
+        for target, source in mapping.items()
+        for problem in of(target, source)
+    ]
+
+
+def apply_mapping(df: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
+    """The mapped columns in mapping order, under their target names; without a mapping all, as is.
+
+    One error tells all problems of a mapping.
+    """
+    if mapping is None:
+        return df.select("*")
+    if problems := mapping_problems(mapping, df.schema):
+        raise ValueError("this mapping does not fit: " + "; ".join(problems))
     return df.select(*[F.col(_quoted(source)).alias(target) for target, source in mapping.items()])
 
 
-def infer_identity_mapping(df: DataFrame) -> dict[str, str]:
-    """Every column mapped to itself."""
-    return {name: name for name in df.columns}
-
-
 def select_columns(df: DataFrame, columns: Sequence[str] = LINKAGE_COLUMNS) -> DataFrame:
     """Exactly these columns, in this order; an error names those that are missing."""
     return apply_mapping(df, {name: name for name in columns})

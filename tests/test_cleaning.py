@@ -7,10 +7,9 @@ from kinfold.operators.mapping import (
     LINKAGE_COLUMNS,
     apply_mapping,
     drop_null_ids,
-    infer_identity_mapping,
+    mapping_problems,
     select_columns,
     union_all_by_name,
-    validate_mapping,
 )
 
 
@@ -100,12 +99,16 @@ def test_mapping(frame):
     df = frame([(1, 2, 3)], "a int, b int, `c.d` int")
     assert apply_mapping(df, {"x": "a", "y": "a", "b": "c.d"}).columns == ["x", "y", "b"]
     assert tuple(apply_mapping(df, {"a": "b", "b": "a"}).first()) == (2, 1)
-    assert tuple(apply_mapping(df, infer_identity_mapping(df)).first()) == (1, 2, 3)
+    assert tuple(apply_mapping(df).first()) == (1, 2, 3)
     with pytest.raises(ValueError, match="nope"):
         apply_mapping(df, {"x": "nope"})
     for wrong in ({}, [], {"a": 1}, {1: "a"}):
+        assert len(mapping_problems(wrong, df.schema)) == 1
         with pytest.raises(ValueError):
-            validate_mapping(wrong)
+            apply_mapping(df, wrong)
+    assert mapping_problems({"x": "a", "y": "a"}, df.schema) == []
+    several = mapping_problems({"x": "nope", "X": "b", "y": 1}, df.schema)
+    assert len(several) == 4 and "nope" in several[0] and "case" in several[1]
     with pytest.raises(ValueError, match="zip_code"):
         select_columns(df)
 
