@@ -267,3 +267,48 @@ random_levels AS (
   GROUP BY ALL
 )"""
 )
+
+_RANDOM_GAMMAS = ("gamma_birth_year", "gamma_gender_code", "gamma_last_name")
+
+
+def _pairs_of_all(partners: int, comparisons: list[Comparison]) -> str:
+    """Every record with the next ones in hash order; no record is left out."""
+    columns = dict.fromkeys(c.column for c in comparisons)
+    sides = ", ".join(f"a.{c} AS {c}_l, b.{c} AS {c}_r" for c in columns)
+    return (
+        PEOPLE_SQL
+        + f""",
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY md5(unique_id || '|42'), unique_id) AS rk FROM people
+),
+steps AS (SELECT unnest(range(1, {partners + 1})) AS step),
+ahead AS (SELECT *, rk + step AS next_rk FROM ranked, steps),
+random_pairs AS (
+  SELECT {sides} FROM ahead a JOIN ranked b ON b.rk = a.next_rk
+  WHERE a.county_desc <> b.county_desc
+),
+random_gammas AS (SELECT {", ".join(gamma_sql(c) for c in comparisons)} FROM random_pairs)"""
+    )
+
+
+ALL_RANDOM_PAIRS_SQL = (
+    _pairs_of_all(5, [c for c in PERSON_COMPARISONS if c.gamma in _RANDOM_GAMMAS])
+    + f""",
+random_levels AS (
+  SELECT {", ".join(_RANDOM_GAMMAS)}, count(*) AS n_pairs FROM random_gammas GROUP BY ALL
+)"""
+)
+
+TRAIN_U_SQL = (
+    _pairs_of_all(10, PERSON_COMPARISONS)
+    + f""",
+found AS (
+  {" UNION ALL ".join(
+      f"SELECT '{c.gamma}' AS comparison, {g} AS level,"
+      f" greatest(count(*) FILTER ({c.gamma} = {g}), 0.5) AS n FROM random_gammas"
+      for c in PERSON_COMPARISONS for g in range(c.top + 1))}
+),
+u_levels AS (
+  SELECT comparison, level, n / sum(n) OVER (PARTITION BY comparison) AS u FROM found
+)"""
+)

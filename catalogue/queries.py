@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from catalogue import fixture as X
 from catalogue.model_sql import (
+    ALL_RANDOM_PAIRS_SQL,
     COMPONENTS_SQL,
     EM_ITERATIONS,
     FLOW_SQL,
@@ -27,6 +28,7 @@ from catalogue.model_sql import (
     PROFILES_SQL,
     RANDOM_U_SQL,
     START_MODEL,
+    TRAIN_U_SQL,
     score_sql,
 )
 from kinfold.functions import text as T
@@ -44,6 +46,7 @@ from kinfold.operators.training import (
     held_out,
     model_table,
     random_pairs,
+    train_u,
 )
 from kinfold.operators.mapping import LINKAGE_COLUMNS
 from kinfold.plans import match as M
@@ -588,6 +591,28 @@ def random_pair_levels(spark, sf_dir):
     return count_patterns(gammas, comparisons)
 
 
+@query(
+    "random_pair_levels_of_all",
+    with_sql(ALL_RANDOM_PAIRS_SQL, "SELECT * FROM random_levels"),
+)
+def random_pair_levels_of_all(spark, sf_dir):
+    """As ``random_pair_levels``, over all records."""
+    comparisons = [exact("birth_year"), exact("gender_code"), similar("last_name", [0.97, 0.92])]
+    columns = [c.column for c in comparisons]
+    pairs = random_pairs(X.people(spark, sf_dir), None, 5, columns)
+    gammas = compare(pairs.withColumn("n_pairs", F.lit(1)), comparisons, ["n_pairs"])
+    return count_patterns(gammas, comparisons)
+
+
+@query(
+    "train_u",
+    with_sql(TRAIN_U_SQL, "SELECT comparison, level, round(u, 6) AS u FROM u_levels"),
+)
+def learned_u(spark, sf_dir):
+    model = train_u(X.people(spark, sf_dir), START_MODEL)
+    return model_table(spark, model).select("comparison", "level", F.round("u", 6).alias("u"))
+
+
 @query(
     "score_pairs",
     with_sql(
