@@ -16,6 +16,7 @@ from kinfold.llm.tables import read
 from kinfold.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # near copies; op5's contract (4, 85) binds that query alone
 
 
 def _with_text(docs: DataFrame, text) -> DataFrame:
@@ -40,8 +41,11 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are similar, directly or by others, the one with the smallest id stays."""
-    found = jaccard.similar_documents(docs)
+    """Of documents that are similar, directly or by others, the one with the smallest id stays.
+
+    Similar means that 80 percent of the shingles of five words are shared.
+    """
+    found = jaccard.similar_documents(docs, shingle=NEAR_WORDS, percent=NEAR_PERCENT)
     copies = found.where("doc_id != component_id").select("doc_id", "row").distinct()
     copies = materialize(copies.withColumnsRenamed({"doc_id": "_id", "row": "_row"}), "copies")
     same = (docs["doc_id"] == copies["_id"]) & (F.xxhash64(docs["text"]) == copies["_row"])
