@@ -34,6 +34,7 @@ def ingest_files(
     expected: DataFrame | None = None,
     min_size: int = 1,
     overwrite: bool = False,
+    multi_line: bool = False,
 ) -> Ingested:
     """Load the files that were not ingested before and record attempts and schema.
 
@@ -58,7 +59,7 @@ def ingest_files(
         return Ingested(None, None, None)
     try:
         table, snapshot, changes = _load(
-            spark, [r["path"] for r in ready], schemas_path, dataset, version, at, source
+            spark, [r["path"] for r in ready], schemas_path, dataset, version, at, source, multi_line
         )
     except Exception as error:
         lost = good.select("filename", F.lit(f"{type(error).__name__}: {error}"[:500]).alias("error"))
@@ -68,9 +69,9 @@ def ingest_files(
     return Ingested(table, snapshot, changes)
 
 
-def _load(spark, paths, schemas_path, dataset, version, at, source):
+def _load(spark, paths, schemas_path, dataset, version, at, source, multi_line):
     """Read the files, register their schema and compare it with the one before."""
-    table = load_dataframe(spark, paths)
+    table = load_dataframe(spark, paths, multi_line=multi_line)
     snapshot = schema_log.extract_schema(table, dataset, version, at, source=source)
     past = _or_none(lambda: schema_log.history(spark, schemas_path))
     changes = None

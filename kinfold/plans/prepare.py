@@ -42,6 +42,7 @@ def prepare_files(
     raw: str | Sequence[str],
     out_dir: str,
     layout: Layout | None = None,
+    multi_line: bool = False,
 ) -> DataFrame | None:
     """Prepare the raw files whose dataset is not in ``out_dir`` yet; return all that is there.
 
@@ -57,7 +58,9 @@ def prepare_files(
         if PurePosixPath(f.path).stem not in done
     ]
     if todo:
-        table = read_delimited(spark, [f.path for f in todo], layout=layout, position=True)
+        table = read_delimited(
+            spark, [f.path for f in todo], layout=layout, position=True, multi_line=multi_line
+        )
         prepare(table, "dataset", POSITION).write.mode("append").partitionBy("dataset").parquet(
             out_dir
         )

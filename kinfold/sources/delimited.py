@@ -2,12 +2,14 @@
 
 A few lines of each file decide its layout; files of one layout are then read together by one
 scan. Columns are strings, missing and empty fields are null, rows with too many fields are
-dropped and short rows are padded.
+dropped and short rows are padded. A quoted field with a line break is an error, unless
+``multi_line`` reads it.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -28,6 +30,7 @@ HEAD_LINES = 50
 DENSE = 5
 
 _BAD = "_bad"
+_OPEN = "a quoted field goes on in the next line (multi_line reads such files)"
 _END = "\x02end"  # appended field that shows where a line really ends
 POSITION = ("_file", "_block", "_row")
 
@@ -107,9 +110,19 @@ def _options(layout: Layout) -> dict[str, str]:
     return {"sep": layout.delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
+def open_quote(line: Column, layout: Layout) -> Column:
+    """Whether a quoted field of the line is not closed in it."""
+    starts = f"(^|{re.escape(layout.delimiter)})\""
+    closed = starts + '[^"]*+(?:""[^"]*+)*+"'
+    return line.contains('"') & F.regexp_replace(line, closed, "$1").rlike(starts)
+
+
 def parse_lines(line: Column, layout: Layout) -> Column:
     """Fields of decoded lines as an array, null for a line with too many fields.
 
+    A line that ends inside a quoted field is an error.
+
+
     A mark is appended as one more field: it sits right behind the last column of a full line,
     earlier in a short line, and is not seen at all in a line that is too long.
     """
@@ -124,7 +137,17 @@ def parse_lines(line: Column, layout: Layout) -> Column:
         clean = F.transform(found, lambda v: F.nullif(F.nullif(v, F.lit(_END)), F.lit("")))
         return F.when(F.array_contains(found, F.lit(_END)), F.slice(clean, 1, n))
 
-    return F.get(F.transform(F.array(fields), tidy), F.lit(0))
+    text = F.concat(F.lit(f"{_OPEN}: "), F.substring(line, 1, 100))
+    parsed = F.get(F.transform(F.array(fields), tidy), F.lit(0))
+    return F.when(open_quote(line, layout), F.raise_error(text)).otherwise(parsed)
+
+
+def count_open_quotes(spark: SparkSession, paths: Sequence[str], layout: Layout) -> DataFrame:
+    """``file, lines``: the lines that end inside a quoted field, of the files that have any."""
+    lines = spark.read.text(list(paths)).where(open_quote(F.col("value"), layout))
+    return lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("lines")
+    )
 
 
 def _positions() -> list[Column]:
@@ -137,6 +160,9 @@ def _positions() -> list[Column]:
 
 def _read_plain(spark: SparkSession, paths: list[str], layout: Layout) -> DataFrame:
     """Header in the first line: Spark's own reader, which also drops the header."""
+    broken = count_open_quotes(spark, paths, layout).orderBy("file").limit(1).collect()
+    if broken:  # the reader would end the row there, and begin another one
+        raise ValueError(f"{_OPEN}: {broken[0].lines} lines of {broken[0].file}")
     names = [f"f{i}" for i in range(len(layout.columns))]
     table = (
         spark.read.schema(", ".join(f"{c} string" for c in [*names, _BAD]))
@@ -176,6 +202,40 @@ def _read_behind_preamble(spark: SparkSession, paths: list[str], layout: Layout)
     )
 
 
+def _read_multi_line(spark: SparkSession, paths: list[str], layout: Layout) -> DataFrame:
+    """Records of Spark's multi-line reader; a file is one task.
+
+    The schema has one column too many, so every record that fits comes with its text in _BAD.
+    """
+    n = len(layout.columns)
+    table = (
+        spark.read.schema(", ".join(f"{c} string" for c in [*(f"f{i}" for i in range(n + 1)), _BAD]))
+        .options(**_options(layout))
+        .option("multiLine", True)
+        .option("header", not layout.header_line)
+        .option("encoding", layout.encoding)
+        .option("columnNameOfCorruptRecord", _BAD)
+        .option("columnPruning", False)
+        .csv(paths)
+    )
+    some = F.col("f0").isNull() | (F.length("f0") >= 0)  # see _read_plain
+    records = table.where(some).select(F.regexp_replace(_BAD, r"^[\r\n]+|[\r\n]+$", "").alias("_text"),
+                                       *[f"f{i}" for i in range(n)], *_positions())
+    if layout.header_line:
+        same = F.lit(True)
+        for i, name in enumerate(layout.columns):
+            own = F.coalesce(f"f{i}", F.lit(f"Unnamed: {i}"))
+            same &= (own == name) | F.lit(name).startswith(F.concat(own, F.lit(".")))
+        header = F.min(F.when(same, F.col("_row"))).over(W.partitionBy("_file"))
+        lost = F.raise_error(F.concat(F.lit("no header record in "), F.col("_file")))
+        records = records.withColumn("_header", F.coalesce(header, lost.cast("long")))
+        records = records.where("_row > _header")
+    fields = records.select(parse_lines(F.col("_text"), layout).alias("_fields"), *POSITION)
+    return fields.where(F.col("_fields").isNotNull()).select(
+        *[F.col("_fields")[i].alias(f"f{i}") for i in range(n)], *POSITION
+    )
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -184,13 +244,15 @@ def read_delimited(
     encoding: str | None = None,
     layout: Layout | None = None,
     position: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read files that may differ in preamble, delimiter, encoding and columns.
 
     ``encoding`` saves the pass that finds it; a ``layout`` known for all files saves all looking.
     ``max_rows`` caps the rows per file. ``infer`` turns columns of numbers and booleans into such.
     ``position`` adds ``dataset`` (the file name without suffix) and ``_file``, ``_block``,
-    ``_row``, which together give the order of the rows in their file.
+    ``_row``, which together give the order of the rows in their file. ``multi_line`` takes line
+    breaks in quoted fields as text; each file is then one task. Without it they are an error.
     """
     if layout is not None:
         groups = {layout: [paths] if isinstance(paths, str) else list(paths)}
@@ -199,6 +261,8 @@ def read_delimited(
     parts = []
     for found, files in groups.items():
         read = _read_behind_preamble if found.header_line else _read_plain
+        if multi_line:
+            read = _read_multi_line
         part = read(spark, files, found)
         if max_rows is not None:
             part = keep_first_rows(part, max_rows, ["_block", "_row"], ["_file"])

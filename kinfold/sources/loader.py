@@ -22,9 +22,15 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def load_dataframe(
-    spark: SparkSession, paths: str | Sequence[str], max_rows: int | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    max_rows: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Load files of mixed types and concatenate them by column name."""
+    """Load files of mixed types and concatenate them by column name.
+
+    ``multi_line`` is for delimited files outside archives, see ``read_delimited``.
+    """
     groups: dict[str, list[str]] = defaultdict(list)
     for file in resolve(spark, paths):
         suffix = PurePosixPath(file.path).suffix.lower()
@@ -36,7 +42,7 @@ def load_dataframe(
     for kind in sorted(groups, key=lambda k: TYPE_PRIORITY.get(k, 99)):
         files = groups[kind]
         if kind == "csv":
-            parts.append(read_delimited(spark, files, max_rows=max_rows))
+            parts.append(read_delimited(spark, files, max_rows=max_rows, multi_line=multi_line))
         elif kind == "json":
             parts.append(read_json(spark, files))
         elif kind == "parquet":
