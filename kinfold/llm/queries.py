@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import decontaminate as dc
-from kinfold.llm import embeddings, jaccard, line_dedup, packing, repeats, sharding, toxicity, warc
+from kinfold.llm import (
+    conversations,
+    embeddings,
+    jaccard,
+    line_dedup,
+    packing,
+    repeats,
+    sharding,
+    toxicity,
+    warc,
+)
 from kinfold.llm.tables import read, sha256
 from kinfold.llm.token_counts import TokenCounts, count_tokens
 from kinfold.session import scratch_path
@@ -157,6 +167,40 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` with the faults of the contract; ``fault`` 0 is a lost turn."""
+    name = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *name).cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("fault")).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "")
+        .when(F.col("fault") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        "fault",
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with faults made by the contract, repaired at least cost."""
+    rows = damaged_turns(read(spark, sf_dir, "conversations"))
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    left = rows.where("fault <> 0").select("conv_id", "turn", "role", "text", copies.alias("copy"))
+    repaired = conversations.digests(conversations.repair(left.drop("copy")))
+    zeros = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    lost = rows.groupBy("conv_id").agg(F.max("fault").alias("most")).where("most = 0")
+    none = lost.select(
+        "conv_id",
+        *[F.lit(0).cast("long").alias(c) for c in zeros],
+        F.lit("").alias("audit"),
+        sha256(F.lit("")).alias("repaired_sha256"),
+    )
+    return repaired.unionByName(none)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -170,6 +214,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_benchmark_decontamination,
         op10_sharding,
+        op13_conversation_repair,
     )
 }
 
