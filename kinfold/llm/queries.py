@@ -13,6 +13,7 @@ from kinfold.llm import (
     line_dedup,
     packing,
     repeats,
+    secrets,
     sharding,
     toxicity,
     warc,
@@ -167,6 +168,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base span is a whole match; ``values`` lists where the secrets themselves are."""
+    found = secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    base = secrets.of_kind(spans, *secrets.KINDS[:3])
+    counts = {
+        f"n_{kind}": F.size(secrets.of_kind(spans, kind)).cast("long") for kind in secrets.KINDS[:3]
+    }
+    values = F.transform(
+        spans,
+        lambda s: F.struct(s["kind"].alias("kind"), s["value_start"].alias("start"), s["end"].alias("end")),
+    )
+    return found.select(
+        "doc_id",
+        *[c.alias(name) for name, c in counts.items()],
+        sha256(secrets.listed(base)).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+        secrets.listed(values).alias("values"),
+    )
+
+
 def damaged_turns(turns: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text`` with the faults of the contract; ``fault`` 0 is a lost turn."""
     name = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
@@ -214,6 +236,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_benchmark_decontamination,
         op10_sharding,
+        op11_secret_scans,
         op13_conversation_repair,
     )
 }
