@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm import decontaminate as dc
 from kinfold.llm import (
+    alignment,
     conversations,
     embeddings,
     jaccard,
@@ -189,6 +190,15 @@ def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments are hashed as they come out; the texts of groups are not moved."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, sha256(F.col("groups"))).otherwise("")
+    rows = aligned.withColumn("groups_sha256", digest).drop("groups")
+    return alignment.with_pair_counts(rows)
+
+
 def damaged_turns(turns: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text`` with the faults of the contract; ``fault`` 0 is a lost turn."""
     name = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
@@ -237,6 +247,7 @@ QUERIES = {
         op9_benchmark_decontamination,
         op10_sharding,
         op11_secret_scans,
+        op12_cross_tokenizer_alignment,
         op13_conversation_repair,
     )
 }

@@ -41,14 +41,25 @@ def _unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _byte_letters() -> dict[str, int]:
+    """The letter that stands for every byte in a byte-level vocabulary."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class Encoder:
-    """Ids by the tokenizer file at ``path``, without special tokens added."""
+    """Ids by the tokenizer file at ``path``, without special tokens added.
 
-    def __init__(self, path: str) -> None:
+    ``plain`` takes the strings of special tokens in a text as ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = plain
         self._special = tuple(t.content for t in self._tokenizer.get_added_tokens_decoder().values())
         self._fast = self._same_ranks()
         self._clear()
@@ -60,9 +71,7 @@ class Encoder:
         """
         import tiktoken
 
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in printable]
-        byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+        byte = _byte_letters()
         ranks = {
             bytes(byte[c] for c in token): rank
             for token, rank in self._tokenizer.get_vocab(with_added_tokens=False).items()
@@ -115,6 +124,16 @@ class Encoder:
         hit = self._known[at] == hashes if len(self._known) else np.zeros(len(hashes), bool)
         return at, hit
 
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id; what is no byte-level entry stands for its own UTF-8."""
+        byte = _byte_letters()
+        vocabulary = self._tokenizer.get_vocab()
+        out = [b""] * (max(vocabulary.values()) + 1)
+        for token, at in vocabulary.items():
+            level = all(c in byte for c in token)
+            out[at] = bytes(byte[c] for c in token) if level else token.encode()
+        return out
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of every text; null is empty."""
         data, offsets = wd.text_bytes(texts)
@@ -147,11 +166,11 @@ class Encoder:
         return ids, counts
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The encoder of this worker for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = Encoder(path, plain)
+    return _ENCODERS[path, plain]
