@@ -20,8 +20,8 @@ tokens. Every row is a document, repeated ones too. Extra columns stay, unless n
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -34,10 +34,10 @@ from kinfold.llm import words as wd
 from kinfold.llm.tokens import encoder
 from kinfold.session import materialize
 
-SLICE = 2 << 20  # bytes of text aligned together
+SLICE = 1 << 20  # bytes of text aligned together
 CHUNK = 32 << 20  # bytes of text whose pairs are numbered together
-_KEPT = 300_000  # window alignments kept by a worker; only a matter of memory
-_KEPT_TOKENS = 64  # longer windows hardly come again
+_KEPT = 200_000  # window alignments kept by a worker; only a matter of memory
+_LONG = 256  # tokens of a window that is aligned by itself and not kept
 _B_BITS = 32
 MARK = "▁"
 
@@ -74,7 +74,7 @@ class Tokenizers:
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a = Vocabulary(self._a.token_bytes())
         self.b = Vocabulary([self._piece(i) for i in range(self._b.get_piece_size())])
-        self.kept: dict[tuple, Window] = {}
+        self.windows = Aligner(self.a, self.b)
 
     def _piece(self, at: int) -> bytes:
         piece = self._b.id_to_piece(at)
@@ -86,7 +86,7 @@ class Tokenizers:
         a, counts = self._a.encode(pa.array([" " + t for t in texts], pa.large_string()))
         b = self._b.encode(texts, num_threads=1)
         sizes = np.array([len(x) for x in b], np.int64)
-        flat = np.fromiter((x for own in b for x in own), np.int64, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(b), np.int64, int(sizes.sum()))
         return Tokens(a.astype(np.int64), counts), Tokens(flat, sizes)
 
 
@@ -99,44 +99,6 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return _TOKENIZERS[path_a, path_b]
 
 
-class Window(NamedTuple):
-    """Groups as text, their number and links, and the linked pairs with how often."""
-
-    groups: str
-    n_groups: int
-    n_links: int
-    pairs: list[int]
-    times: list[int]
-
-
-def align_window(a: tuple, b: tuple, size_a: np.ndarray, size_b: np.ndarray) -> Window:
-    """Group the tokens of a window where tokens of both end."""
-    names, pairs = [], Counter()
-    i = j = links = 0
-    while i < len(a):
-        i0, j0 = i, j
-        end_a, end_b = int(size_a[a[i]]), int(size_b[b[j]])
-        i, j = i + 1, j + 1
-        while end_a != end_b:
-            if end_a < end_b:
-                end_a += int(size_a[a[i]])
-                i += 1
-            else:
-                end_b += int(size_b[b[j]])
-                j += 1
-        left, right = a[i0:i], b[j0:j]
-        names.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-        links += len(left) * len(right)
-        if len(left) == len(right) == 1:
-            pairs[left[0] << _B_BITS | right[0]] += 1
-        else:
-            others = Counter(right).items()
-            for x, n in Counter(left).items():
-                for y, m in others:
-                    pairs[x << _B_BITS | y] += n * m
-    return Window(";".join(names), len(names), links, list(pairs), list(pairs.values()))
-
-
 def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """``first[k], first[k] + 1, …`` for every run, one after another."""
     before = np.cumsum(size) - size
@@ -151,6 +113,160 @@ def _unequal(ids: np.ndarray, first: np.ndarray, size: np.ndarray, stand: np.nda
     return sums[ends] > sums[ends - size]
 
 
+class Windows(NamedTuple):
+    """Alignments of windows: groups as text, their number and links, and the linked pairs.
+
+    The pairs of window w are ``many[w]`` of ``pairs``, each ``times`` often (a pair may come again).
+    """
+
+    groups: list[str]
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    many: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+
+    def take(self, at: np.ndarray) -> Windows:
+        links = _runs((np.cumsum(self.many) - self.many)[at], self.many[at])
+        return Windows(
+            [self.groups[k] for k in at.tolist()],
+            *(x[at] for x in (self.n_groups, self.n_links, self.many)),
+            self.pairs[links],
+            self.times[links],
+        )
+
+    def and_then(self, other: Windows) -> Windows:
+        arrays = (np.concatenate(x) for x in zip(self[1:], other[1:], strict=True))
+        return Windows(self.groups + other.groups, *arrays)
+
+
+def _no_windows() -> Windows:
+    return Windows([], *(np.zeros(0, np.int64) for _ in range(5)))
+
+
+def _align_one(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> Windows:
+    """One window whose groups have too many links to list them one by one."""
+    ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+    cuts = np.intersect1d(ends_a, ends_b)
+    at_a = np.r_[0, np.searchsorted(ends_a, cuts) + 1]
+    at_b = np.r_[0, np.searchsorted(ends_b, cuts) + 1]
+    names, pairs, times, links = [], [], [], 0
+    for k in range(len(cuts)):
+        left, right = a[at_a[k] : at_a[k + 1]], b[at_b[k] : at_b[k + 1]]
+        names.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
+        (x, n), (y, m) = (np.unique(i, return_counts=True) for i in (left, right))
+        pairs.append((x[:, None] << _B_BITS | y).ravel())
+        times.append((n[:, None] * m).ravel())
+        links += len(left) * len(right)
+    flat = np.concatenate(pairs)
+    counts = (np.array([n], np.int64) for n in (len(cuts), links, len(flat)))
+    return Windows([";".join(names)], *counts, flat, np.concatenate(times))
+
+
+class Aligner:
+    """Aligns windows, and keeps the alignments by the ids of both sides."""
+
+    def __init__(self, a: Vocabulary, b: Vocabulary) -> None:
+        self.a, self.b = a, b
+        self._names = [f"{i}{mark}" for i in range(len(a.size)) for mark in ",|"]
+        self._names += [f"{i}{mark}" for i in range(len(b.size)) for mark in ",;"]
+        self._clear()
+
+    def _clear(self) -> None:
+        self._hash, self._place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by hash
+        self._ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self._len = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self._kept = _no_windows()
+
+    def _align(self, a: np.ndarray, len_a: np.ndarray, b: np.ndarray, len_b: np.ndarray) -> Windows:
+        """All windows at once: as both sides of a window have the same bytes, ends can be compared
+        over all of them."""
+        size_a, size_b = self.a.size[a], self.b.size[b]
+        ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        many_a, many_b = np.bincount(group_a), np.bincount(group_b)
+        links = many_a * many_b
+        first_a, first_b = np.cumsum(many_a) - many_a, np.cumsum(many_b) - many_b
+        window = np.repeat(np.arange(len(len_a)), len_a)[first_a]  # of a group
+        n_groups = np.bincount(window, minlength=len(len_a))
+
+        of = np.repeat(np.arange(len(cuts)), links)
+        k = _runs(np.zeros(len(cuts), np.int64), links)
+        i, j = first_a[of] + k // many_b[of], first_b[of] + k % many_b[of]
+        pairs = a[i] << _B_BITS | b[j]
+        n_links = np.bincount(window, links, len(len_a)).astype(np.int64)
+
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[first_a + many_a - 1] = last_b[first_b + many_b - 1] = 1
+        names = np.empty(len(a) + len(b), np.int64)
+        names[np.arange(len(a)) + first_b[group_a]] = 2 * a + last_a
+        names[np.arange(len(b)) + (first_a + many_a)[group_b]] = 2 * (len(self.a.size) + b) + last_b
+        table = self._names
+        parts = [table[x] for x in names.tolist()]
+        at = np.r_[0, np.cumsum(len_a + len_b)].tolist()
+        groups = ["".join(parts[x:y])[:-1] for x, y in zip(at[:-1], at[1:], strict=True)]
+        return Windows(groups, n_groups, n_links, n_links, pairs, np.ones(len(pairs), np.int64))
+
+    def _align_all(self, a: np.ndarray, len_a: np.ndarray, b: np.ndarray, len_b: np.ndarray) -> Windows:
+        """Windows of many tokens by themselves, as they may have groups of any size."""
+        long = np.maximum(len_a, len_b) > _LONG
+        if not long.any():
+            return self._align(a, len_a, b, len_b) if len(len_a) else _no_windows()
+        of_a, of_b = np.repeat(long, len_a), np.repeat(long, len_b)
+        out = self._align_all(a[~of_a], len_a[~long], b[~of_b], len_b[~long])
+        ends_a, ends_b = np.cumsum(len_a), np.cumsum(len_b)
+        for k in np.flatnonzero(long):
+            left = a[ends_a[k] - len_a[k] : ends_a[k]]
+            right = b[ends_b[k] - len_b[k] : ends_b[k]]
+            out = out.and_then(_align_one(left, right, self.a.size, self.b.size))
+        return out.take(np.argsort(np.argsort(long, kind="stable"), kind="stable"))
+
+    def align(
+        self, hashes: np.ndarray, a: np.ndarray, len_a: np.ndarray, b: np.ndarray, len_b: np.ndarray
+    ) -> Windows:
+        """Alignments of windows given one after another; known ones are recognised by hash, then ids."""
+        at = np.searchsorted(self._hash, hashes)
+        at[at == len(self._hash)] = 0
+        known = self._hash[at] == hashes if len(self._hash) else np.zeros(len(hashes), bool)
+        place = self._place[at] if len(self._hash) else at
+        for ids, size, own, kept in ((a, len_a, 0, self._len[0]), (b, len_b, 1, self._len[1])):
+            if not known.any():
+                break
+            known[known] = size[known] == kept[place[known]]
+            first, here = np.cumsum(kept) - kept, np.cumsum(size) - size
+            n = size[known]
+            same = self._ids[own][_runs(first[place[known]], n)] == ids[_runs(here[known], n)]
+            sums = np.r_[0, np.cumsum(~same)]
+            ends = np.cumsum(n)
+            known[known] = sums[ends] == sums[ends - n]
+        old = self._kept.take(place[known])
+        new_a, new_b = a[np.repeat(~known, len_a)], b[np.repeat(~known, len_b)]
+        new = self._align_all(new_a, len_a[~known], new_b, len_b[~known])
+        if not known.all():
+            self._keep(hashes[~known], new, new_a, len_a[~known], new_b, len_b[~known])
+        order = np.empty(len(hashes), np.int64)
+        order[known] = np.arange(int(known.sum()))
+        order[~known] = int(known.sum()) + np.arange(int((~known).sum()))
+        return old.and_then(new).take(order)
+
+    def _keep(self, hashes, new: Windows, a, len_a, b, len_b) -> None:
+        short = np.maximum(len_a, len_b) <= _LONG
+        if len(self._hash) + int(short.sum()) > _KEPT:
+            self._clear()
+        at = np.flatnonzero(short)[:_KEPT]
+        short = np.zeros(len(short), bool)
+        short[at] = True
+        known = np.r_[self._hash, hashes[short]]
+        place = np.r_[self._place, len(self._len[0]) + np.arange(len(at))]
+        order = np.argsort(known, kind="stable")
+        self._hash, self._place = known[order], place[order]
+        for own, (ids, size) in enumerate(((a, len_a), (b, len_b))):
+            self._ids[own] = np.r_[self._ids[own], ids[np.repeat(short, size)]]
+            self._len[own] = np.r_[self._len[own], size[short]]
+        self._kept = self._kept.and_then(new if len(at) == len(len_a) else new.take(at))
+
+
 class Aligned(NamedTuple):
     """Per text: numbers of tokens, groups and links, groups as text; and all its (text, pair, times)."""
 
@@ -212,34 +328,26 @@ def align_texts(texts: list[str | None], both: Tokenizers) -> Aligned:
         which[other] = len(example) + np.arange(int(other.sum()))
         example = np.r_[example, np.flatnonzero(other)]
 
-    found = []
-    for k in example:
-        left = tuple(a.ids[first_a[k] : first_a[k] + len_a[k]].tolist())
-        right = tuple(b.ids[first_b[k] : first_b[k] + len_b[k]].tolist())
-        window = both.kept.get((left, right))
-        if window is None:
-            window = align_window(left, right, both.a.size, both.b.size)
-            if len(left) <= _KEPT_TOKENS:
-                if len(both.kept) >= _KEPT:
-                    both.kept.clear()
-                both.kept[left, right] = window
-        found.append(window)
+    found = both.windows.align(
+        keys[example],
+        a.ids[_runs(first_a[example], len_a[example])],
+        len_a[example],
+        b.ids[_runs(first_b[example], len_b[example])],
+        len_b[example],
+    )
 
     def per_text(values: np.ndarray) -> np.ndarray:
         return np.bincount(of, values[which], n).astype(np.int64)
 
-    n_groups = per_text(np.array([w.n_groups for w in found], np.int64))
-    n_links = per_text(np.array([w.n_links for w in found], np.int64))
-    names, chosen = [w.groups for w in found], which.tolist()
+    n_groups, n_links = per_text(found.n_groups), per_text(found.n_links)
+    names, chosen = found.groups, which.tolist()
     at = np.searchsorted(of, np.arange(n + 1)).tolist()
     groups = [
         ";".join([names[k] for k in chosen[lo:hi]]) for lo, hi in zip(at[:-1], at[1:], strict=True)
     ]
 
-    many = np.array([len(w.pairs) for w in found], np.int64)
-    flat = np.array([p for w in found for p in w.pairs], np.int64)
-    often = np.array([x for w in found for x in w.times], np.int64)
-    codes, number = np.unique(flat, return_inverse=True)
+    many, often = found.many, found.times
+    codes, number = np.unique(found.pairs, return_inverse=True)
     take = _runs((np.cumsum(many) - many)[which], many[which])
     text = np.repeat(of, many[which])
     key = text * max(len(codes), 1) + number[take]
