@@ -54,12 +54,19 @@ from kinfold.plans.prepare import prepare
 from kinfold.session import materialize, scratch_path
 from kinfold.sources.api_pages import explode_api_records
 from kinfold.sources.archives import explode_archives, parse_members
-from kinfold.sources.delimited import read_delimited
+from kinfold.sources.delimited import POSITION, read_delimited
 from kinfold.sources.files import audit_files, audit_paths, classify_files, type_priority
 from kinfold.sources.json_records import read_json
 from kinfold.sources.loader import read_parquet
 from kinfold.sources.sinks import write_stage
-from kinfold.streaming.incremental import prepare_stream, start_incremental
+from kinfold.streaming.incremental import (
+    SPLIT,
+    cleaned_rows,
+    prepare_stream,
+    start_incremental,
+    start_numbered,
+    with_split,
+)
 
 RUN_AT = datetime(2024, 1, 1)
 RUN_SQL = "TIMESTAMP '2024-01-01 00:00:00'"
@@ -1060,8 +1067,12 @@ def read_delimited_files(spark, sf_dir):
     ),
 )
 def prepare_voters(spark, sf_dir):
-    raw = X.raw_voters(spark, sf_dir)
-    return prepare(raw, "dataset", ["doc_id"])
+    """Voter rows written as tab-separated files of one dataset each, then read and prepared."""
+    path = scratch_path(spark, "voters")
+    landed(X.raw_voters(spark, sf_dir), path, "csv", sep="\t", header=True, escape='"')
+    rows = read_delimited(spark, path, position=True)
+    dataset = F.url_decode(F.regexp_extract(POSITION[0], "/dataset=([^/]*)/", 1))
+    return prepare(rows.withColumn("dataset", dataset), "dataset", POSITION)
 
 
 @query(
@@ -1135,16 +1146,78 @@ def _hashed(column: str) -> str:
     return f"coalesce(length({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
 
 
+def landed(raw: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
+    """Raw rows as files of one dataset each, in the order of ``doc_id``, below ``path``."""
+    rows = raw.repartitionByRange("dataset", "doc_id").sortWithinPartitions("dataset", "doc_id")
+    rows.write.mode("append").partitionBy("dataset").options(**options).format(fmt).save(path)
+
+
+ARRIVALS_SQL = """
+arrivals AS (
+  SELECT dataset || '_' || row_number() OVER (PARTITION BY dataset ORDER BY arrival, doc_id) AS unique_id,
+         clean.*
+  FROM clean, (VALUES (1), (2)) a(arrival)
+)"""
+# The people of the two arrivals in place of those of the documents.
+ARRIVED_GOLDEN_SQL = GOLDEN_SQL.replace(X.RECORDS_SQL.removeprefix(X.CLEAN_SQL), f""",{ARRIVALS_SQL},
+records AS (SELECT * EXCLUDE (doc_id, dataset) FROM arrivals)""")
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals of files, the second with copies of all rows of the first, prepared as a stream.
+
+    A third run finds nothing new.
+    """
+    landing, out, ledger, state = (
+        scratch_path(spark, name) for name in ("landing", "stream", "ledger", "state")
+    )
+    raw = X.raw_voters(spark, sf_dir)
+    schema = raw.schema
+    for arriving in (True, True, False):
+        if arriving:
+            landed(raw, landing)
+        stream = with_split(spark.readStream.schema(schema).parquet(landing))
+        rows = cleaned_rows(stream, ("dataset", *SPLIT))
+        start_numbered(rows, out, ledger, state).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 @query(
     "incremental_preparation",
+    with_sql(
+        f"{X.CLEAN_SQL},{ARRIVALS_SQL}",
+        f"SELECT unique_id, dataset, {', '.join(LINKAGE_COLUMNS)} FROM arrivals",
+    ),
+)
+def incremental_preparation(spark, sf_dir):
+    return arrivals(spark, sf_dir)
+
+
+@query(
+    "golden_ids_of_arrivals",
+    with_sql(
+        ARRIVED_GOLDEN_SQL,
+        f"""SELECT golden_id, unique_id, first_name, middle_name, last_name, gender_code, birth_year,
+                   res_city_desc, zip_code, county_desc, {RUN_SQL} AS pipeline_run_timestamp
+            FROM golden LEFT JOIN records USING (unique_id)""",
+    ),
+)
+def golden_ids_of_arrivals(spark, sf_dir):
+    """Rows that arrive as a stream, exact copies among them, to golden ids; every row is kept."""
+    records = M.load_records([arrivals(spark, sf_dir).drop("dataset")], RUN_AT, SETTINGS)
+    return _plain_time(M.match_records(records, RUN_AT, SETTINGS).golden)
+
+
+@query(
+    "hashed_preparation",
     with_sql(
         X.CLEAN_SQL,
         f"""SELECT sha256(concat_ws('|', {", ".join(_hashed(c) for c in ("dataset", *LINKAGE_COLUMNS))}))
                      AS unique_id, dataset, {", ".join(LINKAGE_COLUMNS)} FROM clean""",
     ),
 )
-def incremental_preparation(spark, sf_dir):
-    """The documents as a stream of files, prepared and written; a second run finds nothing new."""
+def hashed_preparation(spark, sf_dir):
+    """The documents as a stream of files, with hashed ids; a second run finds nothing new."""
     out, state = scratch_path(spark, "stream"), scratch_path(spark, "state")
     docs = X.table(spark, sf_dir, "documents")
     for _ in range(2):

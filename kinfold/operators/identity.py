@@ -2,7 +2,8 @@
 
 ``row_number()`` over one window would pull a whole dataset into one task. Here the rows are range
 sorted, numbered inside their own partition, and shifted by the row counts of the partitions
-before; the table of those counts has one row per partition and group.
+before; the table of those counts has one row per partition and group. Rows that still stand in the
+order of their files are not sorted at all.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from kinfold.session import materialize
 
 _PARTITION_BITS = 33  # monotonically_increasing_id(): row in partition in the lower 33 bits
+MAX_SPLITS = 200_000  # rows of a table of file splits that is broadcast; a larger one is joined
 
 
 def number_in_order(
@@ -48,14 +50,63 @@ def number_in_order(
     return placed.join(shifts, same).select(*df.columns, (row + F.col("_shift")).alias(name))
 
 
+def number_in_file_order(
+    df: DataFrame,
+    position: Sequence[str],
+    name: str = "n",
+    within: Sequence[str] = (),
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """Add 1, 2, 3, … to rows that still stand in the order of their files; nothing is sorted.
+
+    ``position`` names the file and the start of the split that a row was read from. Rows of a split
+    are neighbours in a partition, so a row's number is its place in the split plus the rows of
+    the splits before. ``within`` starts anew and must be constant in a file. ``before``
+    (``within`` and ``_before``) gives numbers that are used up already.
+    """
+    file, block = position[:2]
+    keys = [file, block]
+    within = list(within)
+    placed = materialize(df.withColumn("_pos", F.monotonically_increasing_id()), "placed")
+    splits = placed.groupBy(*keys, *within).agg(F.min("_pos").alias("_first"), F.count("*").alias("_rows"))
+    earlier = W.partitionBy(*within).orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    shifts = splits.withColumn("_shift", offset - F.col("_first") + 1)
+    if before is not None:
+        used = before.select(*[F.col(c).alias(f"_in_{c}") for c in within], "_before")
+        same = F.lit(True)
+        for c in within:
+            same = same & shifts[c].eqNullSafe(used[f"_in_{c}"])
+        shifts = shifts.join(used, same, "left").withColumn(
+            "_shift", F.col("_shift") + F.coalesce("_before", F.lit(0))
+        )
+    shifts = materialize(
+        shifts.select(F.col(file).alias("_in_file"), F.col(block).alias("_in_block"), "_shift"), "shifts"
+    )
+    if shifts.count() <= MAX_SPLITS:
+        shifts = F.broadcast(shifts)
+    here = (placed[file] == shifts["_in_file"]) & (placed[block] == shifts["_in_block"])
+    return placed.join(shifts, here).select(*df.columns, (F.col("_pos") + F.col("_shift")).alias(name))
+
+
+def with_ids(numbered: DataFrame, dataset: str, n: str = "_n", id_col: str = "unique_id") -> DataFrame:
+    """``"{dataset}_{n}"`` as first column, without the number."""
+    ids = F.concat_ws("_", F.col(dataset), F.col(n).cast("string"))
+    return numbered.select(ids.alias(id_col), *[c for c in numbered.columns if c != n])
+
+
 def add_sequential_ids(
     df: DataFrame, dataset: str, order: Sequence[str], id_col: str = "unique_id"
 ) -> DataFrame:
     """``"{dataset}_{i}"`` as first column, with i from 1 in ``order`` inside each dataset."""
-    numbered = number_in_order(df, order, "_n", within=[dataset])
-    return numbered.select(
-        F.concat_ws("_", F.col(dataset), F.col("_n").cast("string")).alias(id_col), *df.columns
-    )
+    return with_ids(number_in_order(df, order, "_n", within=[dataset]), dataset, "_n", id_col)
+
+
+def add_file_ids(
+    df: DataFrame, dataset: str, position: Sequence[str], id_col: str = "unique_id"
+) -> DataFrame:
+    """As ``add_sequential_ids``, for rows just read from files of which each is of one dataset."""
+    return with_ids(number_in_file_order(df, position, "_n", [dataset]), dataset, "_n", id_col)
 
 
 def add_uuid_ids(df: DataFrame, id_col: str = "unique_id") -> DataFrame:

@@ -9,19 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from kinfold.operators.cleaning import VOTER_RULES, cleaning_columns
-from kinfold.operators.identity import add_sequential_ids
+from kinfold.operators.identity import add_file_ids, add_sequential_ids
 from kinfold.operators.mapping import LINKAGE_COLUMNS, select_columns
 from kinfold.sources.delimited import POSITION, Layout, read_delimited
 from kinfold.sources.files import SourceFile, files_exist, resolve
 
 
 def prepare(raw: DataFrame, dataset: str, order: Sequence[str]) -> DataFrame:
-    """Matching-ready rows: ``unique_id``, ``dataset`` and the eight cleaned linkage columns."""
+    """Matching-ready rows: ``unique_id``, ``dataset`` and the eight cleaned linkage columns.
+
+    Rows in the order of their files (``order`` is ``POSITION``) are numbered without a sort.
+    """
     kept = [dataset, *order]
     rows = select_columns(raw, [*LINKAGE_COLUMNS, *kept])
     cleaned = rows.select(*cleaning_columns(rows, VOTER_RULES, LINKAGE_COLUMNS), *kept)
-    numbered = add_sequential_ids(cleaned, dataset, order)
-    return numbered.select("unique_id", dataset, *LINKAGE_COLUMNS)
+    number = add_file_ids if tuple(order) == POSITION else add_sequential_ids
+    return number(cleaned, dataset, order).select("unique_id", dataset, *LINKAGE_COLUMNS)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
