@@ -47,6 +47,7 @@ from kinfold.operators.training import (
     model_table,
     random_pairs,
     train_u,
+    tuple_pairs,
 )
 from kinfold.operators.mapping import LINKAGE_COLUMNS
 from kinfold.plans import match as M
@@ -566,7 +567,7 @@ def training_patterns(spark, sf_dir):
     profiles = materialize(profiles_of(spark, sf_dir), "profiles")
     rule = SETTINGS.training_rule
     trained = [c for c in SETTINGS.comparisons if c not in held_out(SETTINGS.comparisons, rule)]
-    pairs = B.candidate_pairs(profiles, [rule])
+    pairs = tuple_pairs(profiles, rule, trained)
     return count_patterns(compare(pairs, trained, ["n_pairs"]), trained)
 
 

@@ -16,9 +16,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.blocking import CELL_ROWS, Rule, candidate_pairs
-from kinfold.operators.comparison import Comparison, compare
+from kinfold.operators.blocking import CELL_ROWS, Rule, join_block
+from kinfold.operators.comparison import Comparison, add_letter_bits, compare, compared_columns
 from kinfold.operators.identity import number_in_order, sample_exactly
+from kinfold.session import materialize
 
 # Start values of the model for levels that no training has touched.
 START_M_EXACT = 0.95
@@ -139,6 +140,52 @@ def count_patterns(gammas: DataFrame, comparisons: Sequence[Comparison]) -> Data
     return gammas.groupBy(*[c.gamma for c in comparisons]).agg(F.sum("n_pairs").alias("n_pairs"))
 
 
+def tuple_pairs(
+    profiles: DataFrame,
+    rule: Rule,
+    comparisons: Sequence[Comparison],
+    source: str = "county_desc",
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """Pairs of different values inside the blocks of ``rule``, with the record pairs they stand for.
+
+    Levels depend on values alone. A row per combination of compared values carries its records and how
+    many of them each source has; of two combinations with n and m records, n·m minus the sum over
+    the sources of nₛ·mₛ are pairs across sources, and (n² - Σ nₛ²) / 2 of one with itself. So neither
+    copies nor the number of sources add to the pairs that are formed, and pairs that stand for none
+    are not compared.
+    """
+    keys = list(dict.fromkeys([*rule, *compared_columns(comparisons)]))
+    known = profiles.where(F.col(source).isNotNull())
+    for c in rule:
+        known = known.where(F.col(c).isNotNull())
+    # One shuffle for both steps; a profile is a row per source, so no combination is hot.
+    per_source = (
+        known.repartition(*keys)
+        .groupBy(*keys, source)
+        .agg(F.sum("n_records").alias("_n"), F.min("profile_id").alias("_first"))
+    )
+    tuples = per_source.groupBy(*keys).agg(
+        F.min("_first").alias("profile_id"),
+        F.sum("_n").alias("_n"),
+        F.map_from_entries(F.collect_list(F.struct(source, "_n"))).alias("_by_source"),
+    )
+    tuples = materialize(add_letter_bits(tuples, comparisons), "tuples")
+    within = F.aggregate(
+        F.map_entries("_by_source_l"),
+        F.lit(0).cast("long"),
+        lambda total, own: total
+        + own["value"] * F.coalesce(F.try_element_at("_by_source_r", own["key"]), F.lit(0)),
+    )
+    several = join_block(tuples, rule, "profile_id", cell_rows)
+    several = several.withColumn("n_pairs", F.col("_n_l") * F.col("_n_r") - within)
+    alone = tuples.select(
+        *[F.col(c).alias(f"{c}_{side}") for side in ("l", "r") for c in tuples.columns]
+    ).withColumn("n_pairs", F.shiftright(F.col("_n_l") * F.col("_n_r") - within, 1))
+    pairs = several.unionByName(alone.select(*several.columns))
+    return pairs.where("n_pairs > 0")
+
+
 def pattern_bound(comparisons: Sequence[Comparison]) -> int:
     return math.prod(c.top + 2 for c in comparisons)
 
@@ -232,7 +279,7 @@ def train_m(
     """Learn m inside one training block; comparisons on the block's own columns keep theirs."""
     skipped = held_out(model.comparisons, rule)
     trained = [c for c in model.comparisons if c not in skipped]
-    pairs = candidate_pairs(profiles, [rule], source, cell_rows)
+    pairs = tuple_pairs(profiles, rule, trained, source, cell_rows)
     counts = count_patterns(compare(pairs, trained, ["n_pairs"]), trained)
     patterns = _read_patterns(counts, trained)
     fitted, _, _ = fit_m(
