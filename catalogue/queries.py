@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ from kinfold.plans import match as M
 from kinfold.plans.prepare import prepare
 from kinfold.session import materialize, scratch_path
 from kinfold.sources.api_pages import explode_api_records
-from kinfold.sources.archives import explode_archives, parse_members
+from kinfold.sources.archives import read_archives
 from kinfold.sources.delimited import POSITION, read_delimited
 from kinfold.sources.files import audit_files, audit_paths, classify_files, type_priority
 from kinfold.sources.json_records import read_json
@@ -1092,21 +1094,30 @@ def read_json_lines(spark, sf_dir):
     "SELECT c_custkey::VARCHAR AS id, c_name AS name, c_mktsegment AS segment FROM customer",
 )
 def read_customer_archives(spark, sf_dir):
-    """Customers packed into archives of a bounded number of rows each, then unpacked."""
+    """Customers packed into archives of a CSV, a JSON and a Parquet member, then read by member."""
+    path = scratch_path(spark, "archives")
+    root = path if "://" in path else f"file://{path.removeprefix('file:')}"
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, folder = pa.fs.FileSystem.from_uri(root)
+        fs.create_dir(folder)
         for batch in batches:
-            table = batch.to_csv(index=False, header=["id", "name", "segment"])
-            data = io.BytesIO()
-            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("part/customers.csv", table)
-                archive.writestr(".hidden.csv", "id,name,segment\n-1,no,no\n")
-                archive.writestr("readme.md", "not a table")
-            yield pd.DataFrame({"path": [f"{batch.iloc[0, 0]}.zip"], "content": [data.getvalue()]})
+            batch = batch.astype(str).set_axis(["id", "name", "segment"], axis=1)
+            parts = [batch[i::3] for i in range(3)]
+            columns = io.BytesIO()
+            parts[2].to_parquet(columns, index=False)
+            name = f"{folder}/{batch['id'].iloc[0]}.zip"  # the same whenever the task runs
+            with fs.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("part/customers.csv", parts[0].to_csv(index=False))
+                z.writestr("customers.json", parts[1].to_json(orient="records"))
+                z.writestr("customers.parquet", columns.getvalue())
+                z.writestr(".hidden.csv", "id,name,segment\n-1,no,no\n")
+                z.writestr("readme.md", "not a table")
+            yield pd.DataFrame({"rows": [len(batch)]})
 
     customers = X.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    archives = customers.mapInPandas(pack, "path string, content binary")
-    return parse_members(materialize(explode_archives(archives), "members"))
+    materialize(customers.mapInPandas(pack, "rows bigint"), "packed")
+    return read_archives(spark, path)
 
 
 PAGES_SQL = "SELECT event_id, '{\"k\":' || regexp_extract(props, '([0-9]+)', 1) || '}' AS record FROM events"

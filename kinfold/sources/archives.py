@@ -1,8 +1,11 @@
-"""ZIP archives: members are unpacked in tasks and parsed by Spark.
-
-One archive is one task: ZIP cannot be split, and the archive has to fit into a binary value
-(2 GB compressed). Members are streamed line by line from there, never held whole, except for a
-JSON member, which is a single value.
+"""ZIP archives: every member is a task that unpacks it line by line, and Spark parses the lines.
+
+A data source reads the directories of the archives, which say where each member begins, and plans
+one partition per supported member, the largest first; members of one archive are read side by side and
+no archive is ever a single value. A member is streamed: lines of delimited text, the records of
+a JSON array one after another, the batches of a Parquet file. Only a JSON object is held whole.
+Stores that only Spark can read give their archives as binary values instead, of 2 GB at most, one
+task each.
 """
 
 from __future__ import annotations
@@ -11,24 +14,29 @@ import io
 import json
 import zipfile
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
-from typing import Any
+from typing import IO, Any
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from kinfold.operators.mapping import union_all_by_name
 from kinfold.session import materialize, scratch_path
 from kinfold.sources.delimited import ENCODINGS, HEAD_LINES, Layout, find_layout, parse_lines
-from kinfold.sources.files import TYPE_BY_SUFFIX, TYPE_PRIORITY
-from kinfold.sources.json_records import ARRAY, OBJECT, json_kind
+from kinfold.sources.files import TYPE_BY_SUFFIX, TYPE_PRIORITY, resolve
+from kinfold.sources.json_records import ARRAY, OBJECT, array_records, json_kind
 
 MEMBER_LINES = (
     "archive string, member string, file_type string, layout string, line_no bigint, text string"
 )
 BATCH_LINES = 10_000
+BATCH_CHARS = 8 << 20
 _MARK = -1  # line number of the row that stands for the member itself
 
 
@@ -78,21 +86,40 @@ def _flat(value: dict[str, Any], path: str = "") -> dict[str, Any]:
 
 
 def _json_rows(archive: zipfile.ZipFile, name: str) -> tuple[str, Iterator[str]]:
+    kind = _json_member_kind(archive, name)
+    if kind == OBJECT:
+        return "", iter([json.dumps(_flat(json.loads(archive.read(name))))])
+    if kind == ARRAY:
+        records = array_records(_text_parts(archive, name))
+        return "", (r.replace("\n", " ").replace("\r", " ") for r in records)  # line breaks are never in strings
+    return "", (x.decode("utf-8") for x in _raw_lines(archive, name) if x.strip())
+
+
+def _json_member_kind(archive: zipfile.ZipFile, name: str) -> str:
+    """An array is known by its first character, so that its first line need not be read."""
+    for part in _text_parts(archive, name):
+        if start := part.lstrip("\ufeff \t\r\n"):
+            if start[0] == "[":
+                return ARRAY
+            break
     lines = (x.decode("utf-8") for x in _raw_lines(archive, name) if x.strip())
     head = list(islice(lines, 2))
-    kind = json_kind(head[0] if head else "", len(head) > 1)
-    if kind in (ARRAY, OBJECT):
-        value = json.loads(archive.read(name))
-        records = value if kind == ARRAY else [_flat(value)]
-        return "", (json.dumps(r) for r in records)
-    return "", (x.decode("utf-8") for x in _raw_lines(archive, name) if x.strip())
+    return json_kind(head[0] if head else "", len(head) > 1)
+
+
+def _text_parts(archive: zipfile.ZipFile, name: str) -> Iterator[str]:
+    with archive.open(name) as stream:
+        text = io.TextIOWrapper(stream, "utf-8", newline="")
+        while part := text.read(1 << 20):
+            yield part
 
 
 def _parquet_rows(archive: zipfile.ZipFile, name: str) -> tuple[str, Iterator[str]]:
+    """Read through the member's stream: going back to the first row group unpacks it again."""
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    file = pq.ParquetFile(io.BytesIO(archive.read(name)))
+    file = pq.ParquetFile(pa.PythonFile(archive.open(name), mode="r"), pre_buffer=False)
     rows = (
         json.dumps(row, default=str)
         for batch in file.iter_batches(BATCH_LINES)
@@ -102,27 +129,102 @@ def _parquet_rows(archive: zipfile.ZipFile, name: str) -> tuple[str, Iterator[st
 
 
 _READERS = {"csv": _csv_rows, "json": _json_rows, "parquet": _parquet_rows}
+_COLUMNS = [part.split()[0] for part in MEMBER_LINES.split(", ")]
+
+
+def supported_members(archive: zipfile.ZipFile, path: str) -> list[tuple[str, str, int]]:
+    """Name, type and packed size of the members to read; an error if there are none or some cannot
+    be read."""
+    kinds = [(i, member_type(i.filename)) for i in archive.infolist() if not i.is_dir()]
+    members = [(i.filename, kind, i.compress_size) for i, kind in kinds if kind]
+    if not members:
+        raise ValueError(f"no supported file in archive {path}")
+    for name, kind, _ in members:
+        if kind not in _READERS:
+            raise ValueError(f"{kind} member {name} of {path} cannot be read")
+    return members
+
+
+def _member_batches(
+    archive: zipfile.ZipFile, path: str, name: str, kind: str
+) -> Iterator[pd.DataFrame]:
+    """The mark of a member, then its lines with their numbers."""
+    layout, rows = _READERS[kind](archive, name)
+    held: list[tuple] = [(path, name, kind, layout, _MARK, None)]
+    chars = 0
+    for i, text in enumerate(rows):
+        held.append((path, name, kind, layout, i, text))
+        chars += len(text)
+        if len(held) >= BATCH_LINES or chars >= BATCH_CHARS:
+            yield pd.DataFrame(held, columns=_COLUMNS)
+            held, chars = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=_COLUMNS)
 
 
 def _unpack(path: str, content: bytes) -> Iterator[pd.DataFrame]:
-    columns = [part.split()[0] for part in MEMBER_LINES.split(", ")]
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = [(i.filename, member_type(i.filename)) for i in archive.infolist()]
-        members = [(name, kind) for name, kind in members if kind and not name.endswith("/")]
-        if not members:
-            raise ValueError(f"no supported file in archive {path}")
-        for name, kind in members:
-            if kind not in _READERS:
-                raise ValueError(f"{kind} member {name} of {path} cannot be read")
-            layout, rows = _READERS[kind](archive, name)
-            yield pd.DataFrame([(path, name, kind, layout, _MARK, None)], columns=columns)
-            start = 0
-            while batch := list(islice(rows, BATCH_LINES)):
-                yield pd.DataFrame(
-                    [(path, name, kind, layout, start + i, t) for i, t in enumerate(batch)],
-                    columns=columns,
-                )
-                start += len(batch)
+        for name, kind, _ in supported_members(archive, path):
+            yield from _member_batches(archive, path, name, kind)
+
+
+def _open(uri: str) -> IO[bytes]:
+    fs, path = pa.fs.FileSystem.from_uri(uri)
+    return fs.open_input_file(path)
+
+
+def _within_reach(uri: str) -> bool:
+    """Whether tasks can open the file themselves."""
+    try:
+        _open(uri).close()
+    except (pa.ArrowException, OSError):
+        return False
+    return True
+
+
+class Member(InputPartition):
+    def __init__(self, uri: str, path: str, name: str, kind: str) -> None:
+        self.uri, self.path, self.name, self.kind = uri, path, name, kind
+
+
+class MemberReader(DataSourceReader):
+    def __init__(self, files: list[tuple[str, str]]) -> None:
+        self._files = files
+
+    def partitions(self) -> Sequence[InputPartition]:
+        """A partition per member; only the directories at the ends of the archives are read."""
+
+        def members(file: tuple[str, str]) -> list[tuple[int, Member]]:
+            uri, path = file
+            with _open(uri) as raw, zipfile.ZipFile(raw) as archive:
+                found = supported_members(archive, path)
+            return [(size, Member(uri, path, name, kind)) for name, kind, size in found]
+
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            found = [m for own in pool.map(members, self._files) for m in own]
+        return [m for _, m in sorted(found, key=lambda x: (-x[0], x[1].path, x[1].name))]
+
+    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema(
+            [(c, pa.int64() if c == "line_no" else pa.string()) for c in _COLUMNS]
+        )
+        with _open(partition.uri) as raw, zipfile.ZipFile(raw) as archive:
+            for rows in _member_batches(archive, partition.path, partition.name, partition.kind):
+                yield pa.RecordBatch.from_pandas(rows, schema, preserve_index=False)
+
+
+class MemberSource(DataSource):
+    """``spark.read.format("zip_members")``; option ``files`` has pairs of URI and shown path."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zip_members"
+
+    def schema(self) -> str:
+        return MEMBER_LINES
+
+    def reader(self, schema) -> MemberReader:  # noqa: ARG002
+        return MemberReader([tuple(f) for f in json.loads(self.options["files"])])
 
 
 def explode_archives(files: DataFrame) -> DataFrame:
@@ -173,10 +275,19 @@ def _infer(spark: SparkSession, rows: DataFrame) -> T.StructType:
     return spark.read.json(path).schema
 
 
+def read_members(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The lines of all supported members of archives, see ``MEMBER_LINES``."""
+    files = [(f.file_path, f.path) for f in resolve(spark, paths)]
+    if not files:
+        raise ValueError(f"no archive at {paths}")
+    if _within_reach(files[0][0]):
+        spark.dataSource.register(MemberSource)
+        return spark.read.format("zip_members").option("files", json.dumps(files)).load()
+    return explode_archives(spark.read.format("binaryFile").load([path for _, path in files]))
+
+
 def read_archives(
     spark: SparkSession, paths: str | Sequence[str], position: bool = False
 ) -> DataFrame:
     """All supported members of all archives as one table."""
-    roots = [paths] if isinstance(paths, str) else list(paths)
-    files = spark.read.format("binaryFile").load(roots)
-    return parse_members(materialize(explode_archives(files), "members"), position)
+    return parse_members(materialize(read_members(spark, paths), "members"), position)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,59 @@ def json_kind(first: str, more: bool) -> str:
     raise ValueError(f"not a JSON array, object or lines of objects: {start[:40]!r}")
 
 
+def array_records(parts: Iterable[str]) -> Iterator[str]:
+    """The texts of the records of one top-level array, given in parts; one record is held at a time."""
+    decode = json.JSONDecoder().raw_decode
+    source, blank = iter(parts), re.compile(r"[\ufeff\s]*")
+    text, at, ended = "", 0, False
+
+    def more() -> bool:
+        """Read on: at least as much as is held, so that a long record is not parsed too often."""
+        nonlocal text, at, ended
+        held = [text[at:]]
+        want, got = max(len(held[0]), 1), 0
+        while got < want and not ended:
+            part = next(source, None)
+            ended = part is None
+            held.append(part or "")
+            got += len(part or "")
+        text, at = "".join(held), 0
+        return got > 0
+
+    def token() -> str:
+        """The next character that is not white space."""
+        nonlocal at
+        at = blank.match(text, at).end()
+        while at == len(text) and more():
+            at = blank.match(text, at).end()
+        return text[at : at + 1]
+
+    if token() != "[":
+        raise ValueError("not a JSON array")
+    at += 1
+    if token() == "]":
+        return
+    while True:
+        token()
+        while True:
+            try:
+                _, end = decode(text, at)
+                if end < len(text) or ended:  # a number may go on
+                    break
+            except json.JSONDecodeError:
+                if ended:
+                    raise
+            more()
+        yield text[at:end]
+        at = end
+        mark = token()
+        if mark not in (",", "]"):
+            raise ValueError(f"no comma or end after a record: {text[at:at + 40]!r}")
+        at += 1
+        if mark == "]":
+            return
+
+
 def _kind_of(spark: SparkSession, path: str) -> str:
     lines = spark.read.text(path).where(F.trim("value") != "").limit(2).collect()
     if not lines:

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.sources.api_pages import explode_api_records
-from kinfold.sources.archives import member_type, read_archives
+from kinfold.sources.archives import explode_archives, member_type, read_archives, read_members
 from kinfold.sources.delimited import Layout, find_layout, read_delimited
 from kinfold.sources.files import audit_paths, classify_files, files_exist, list_files, sort_by_priority
-from kinfold.sources.json_records import json_kind, read_json
+from kinfold.sources.json_records import array_records, json_kind, read_json
 from kinfold.sources.loader import load_dataframe
 from kinfold.sources.sinks import write_stage
 
@@ -175,6 +175,46 @@ def test_read_archives(spark, tmp_path):
     assert got.where("a = 'o1'").first()["n.k"] == "v"
 
 
+def test_members_are_tasks(spark, tmp_path):
+    numbers = range(30_000)
+    table = io.BytesIO()
+    pd.DataFrame({"a": [f"p{i}" for i in numbers]}).to_parquet(table, row_group_size=4_000)
+    members = {
+        "x.csv": "a,b\n" + "".join(f"c{i},1\n" for i in numbers),
+        "y.json": json.dumps([{"a": f"j{i}", "b": "]},{[\\\""} for i in numbers], indent=1),
+        "t.parquet": table.getvalue(),
+    }
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    lines = read_members(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() == 3
+    got = read_archives(spark, str(tmp_path), position=True)
+    want = {f"{k}{i}" for k in "cjp" for i in numbers}
+    assert {r["a"] for r in got.select("a").collect()} == want and got.count() == len(want)
+    assert got.where("b = ']},{[\\\\\"'").count() == len(numbers)
+    content = spark.read.format("binaryFile").load(str(tmp_path))  # a store out of reach
+    assert sorted(explode_archives(content).drop("archive").collect(), key=str) == sorted(
+        lines.drop("archive").collect(), key=str
+    )
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+@pytest.mark.parametrize(
+    "text",
+    ["[]", " [ ] ", '[{"a": [1, {"b": "]"}]}, 12, "x\\\"", null, -1.5e3]', "\ufeff[\n12]\n", "[[],[[]]]"],
+)
+def test_array_records(text, size):
+    parts = [text[i : i + size] for i in range(0, len(text), size)]
+    assert [json.loads(r) for r in array_records(parts)] == json.loads(text.lstrip("\ufeff"))
+
+
+@pytest.mark.parametrize("text", ["[1", "[1 2]", "{}", "[1,]", '[{"a": ]', ""])
+def test_broken_arrays(text):
+    with pytest.raises(ValueError):
+        list(array_records([text]))
+
+
 def test_archive_without_supported_member(spark, tmp_path):
     _zip(tmp_path / "none.zip", {"readme.md": "x"})
     with pytest.raises(Exception, match="no supported file"):
