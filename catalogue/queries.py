@@ -57,7 +57,7 @@ from kinfold.plans.prepare import prepare
 from kinfold.session import materialize, scratch_path
 from kinfold.sources.api_pages import explode_api_records
 from kinfold.sources.archives import read_archives
-from kinfold.sources.delimited import POSITION, read_delimited
+from kinfold.sources.delimited import POSITION, read_delimited, read_delimited_with_rejects
 from kinfold.sources.files import audit_files, audit_paths, classify_files, type_priority
 from kinfold.sources.json_records import read_json
 from kinfold.sources.loader import read_parquet
@@ -1060,6 +1060,80 @@ def read_delimited_files(spark, sf_dir):
     return read_delimited(spark, path)
 
 
+# Customers as lines of two kinds of file: by pipes behind a preamble, or by commas in Latin-1. Some
+# lines have a field too many, lack the last two, or end inside a quoted field.
+FOUND = ("id", "name", "nation", "balance", "segment", "city", "note")
+MESSY_SQL = """
+messy AS (
+  SELECT c_custkey, c_custkey % 4 AS file, c_custkey % 11 = 0 AS long, c_custkey % 13 = 0 AS open,
+         c_custkey % 7 = 0 AS short,
+         c_custkey::VARCHAR AS id, c_name AS name, c_nationkey::VARCHAR AS nation,
+         (c_custkey * 3)::VARCHAR AS balance, c_mktsegment AS segment,
+         'Ciudad é' || c_nationkey AS city, 'n' || c_custkey AS note
+  FROM customer
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY file ORDER BY c_custkey) + if(file < 2, 3, 1) AS line
+  FROM messy
+)"""
+
+
+def messy_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The paths of the files, each in the order of its customers."""
+    path, key = scratch_path(spark, "messy"), F.col("c_custkey")
+    behind = key % 4 < 2
+    sep = F.when(behind, "|").otherwise(",")
+    city = F.concat(F.lit("Ciudad é"), F.col("c_nationkey").cast("string"))
+    note = F.concat(F.lit("n"), key.cast("string"))
+    values = [key, F.col("c_name"), F.col("c_nationkey"), key * 3, F.col("c_mktsegment"), city, note]
+    values = F.array(*[F.coalesce(v.cast("string"), F.lit("")) for v in values])
+    values = F.when((key % 11 == 0) & (key % 13 != 0), F.concat(values, F.array(F.lit("more")))).when(
+        (key % 7 == 0) & (key % 13 != 0), F.slice(values, 1, 5)
+    ).otherwise(values)
+    line = F.when(behind, F.array_join(values, "|")).otherwise(F.array_join(values, ","))
+    line = F.when(key % 13 == 0, F.concat(line, sep, F.lit('"open'))).otherwise(line)
+    rows = X.table(spark, sf_dir, "customer").select((key % 4).alias("file"), key.alias("at"), line.alias("line"))
+    heads = [(f, -3 + i, t) for f in (0, 1) for i, t in enumerate(["voters", "as of today", "|".join(FOUND)])]
+    heads += [(f, -1, ",".join(FOUND)) for f in (2, 3)]
+    all_lines = rows.unionByName(spark.createDataFrame(heads, "file bigint, at bigint, line string"))
+    ordered = all_lines.repartition("file").sortWithinPartitions("file", "at")
+    # Spark's CSV writer is the one that knows encodings: one column, and nothing quoted.
+    plain = {"sep": "\x01", "quote": "", "encoding": "ISO-8859-1", "ignoreLeadingWhiteSpace": False}
+    ordered.where("file >= 2").select("file", "line").write.partitionBy("file").options(**plain).csv(f"{path}/latin")
+    ordered.where("file < 2").select("file", "line").write.partitionBy("file").text(f"{path}/pipes")
+    return [f"{path}/latin/*", f"{path}/pipes/*"]
+
+
+@query(
+    "read_messy_files",
+    with_sql(
+        MESSY_SQL,
+        """SELECT id, name, nation, balance, segment, CASE WHEN NOT short THEN city END AS city,
+                  CASE WHEN NOT short THEN note END AS note
+           FROM placed WHERE NOT long AND NOT open""",
+    ),
+)
+def read_messy_files(spark, sf_dir):
+    """Preamble, pipes, Latin-1, long and short rows."""
+    return read_delimited_with_rejects(spark, messy_files(spark, sf_dir))[0]
+
+
+@query(
+    "rejected_lines",
+    with_sql(
+        MESSY_SQL,
+        """SELECT file, line, CASE WHEN open THEN 'open quote' ELSE 'too long' END AS reason,
+                  id FROM placed WHERE long OR open""",
+    ),
+)
+def rejected_lines(spark, sf_dir):
+    """With ``read_messy_files``, every line once."""
+    rejects = read_delimited_with_rejects(spark, messy_files(spark, sf_dir))[1]
+    file = F.regexp_extract("file", "/file=([0-9])/", 1).cast("bigint")
+    return rejects.select(
+        file.alias("file"), "line", "reason", F.regexp_extract("text", "^[0-9]+", 0).alias("id")
+    )
+
+
 @query(
     "prepare_files",
     with_sql(

@@ -16,11 +16,10 @@ import zipfile
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
-from typing import IO, Any
+from typing import Any
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +28,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from kinfold.operators.mapping import union_all_by_name
 from kinfold.session import materialize, scratch_path
 from kinfold.sources.delimited import ENCODINGS, HEAD_LINES, Layout, find_layout, parse_lines
-from kinfold.sources.files import TYPE_BY_SUFFIX, TYPE_PRIORITY, resolve
+from kinfold.sources.files import TYPE_BY_SUFFIX, TYPE_PRIORITY, open_uri, resolve, within_reach
 from kinfold.sources.json_records import ARRAY, OBJECT, array_records, json_kind
 
 MEMBER_LINES = (
@@ -168,20 +167,6 @@ def _unpack(path: str, content: bytes) -> Iterator[pd.DataFrame]:
             yield from _member_batches(archive, path, name, kind)
 
 
-def _open(uri: str) -> IO[bytes]:
-    fs, path = pa.fs.FileSystem.from_uri(uri)
-    return fs.open_input_file(path)
-
-
-def _within_reach(uri: str) -> bool:
-    """Whether tasks can open the file themselves."""
-    try:
-        _open(uri).close()
-    except (pa.ArrowException, OSError):
-        return False
-    return True
-
-
 class Member(InputPartition):
     def __init__(self, uri: str, path: str, name: str, kind: str) -> None:
         self.uri, self.path, self.name, self.kind = uri, path, name, kind
@@ -196,7 +181,7 @@ class MemberReader(DataSourceReader):
 
         def members(file: tuple[str, str]) -> list[tuple[int, Member]]:
             uri, path = file
-            with _open(uri) as raw, zipfile.ZipFile(raw) as archive:
+            with open_uri(uri) as raw, zipfile.ZipFile(raw) as archive:
                 found = supported_members(archive, path)
             return [(size, Member(uri, path, name, kind)) for name, kind, size in found]
 
@@ -208,7 +193,7 @@ class MemberReader(DataSourceReader):
         schema = pa.schema(
             [(c, pa.int64() if c == "line_no" else pa.string()) for c in _COLUMNS]
         )
-        with _open(partition.uri) as raw, zipfile.ZipFile(raw) as archive:
+        with open_uri(partition.uri) as raw, zipfile.ZipFile(raw) as archive:
             for rows in _member_batches(archive, partition.path, partition.name, partition.kind):
                 yield pa.RecordBatch.from_pandas(rows, schema, preserve_index=False)
 
@@ -280,7 +265,7 @@ def read_members(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     files = [(f.file_path, f.path) for f in resolve(spark, paths)]
     if not files:
         raise ValueError(f"no archive at {paths}")
-    if _within_reach(files[0][0]):
+    if within_reach(files[0][0]):
         spark.dataSource.register(MemberSource)
         return spark.read.format("zip_members").option("files", json.dumps(files)).load()
     return explode_archives(spark.read.format("binaryFile").load([path for _, path in files]))

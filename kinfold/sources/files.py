@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
+from typing import IO, NamedTuple
 
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,21 @@ def resolve(spark: SparkSession, paths: str | Sequence[str]) -> list[SourceFile]
     return sorted(SourceFile(r["path"], r["file_path"]) for r in found.collect())
 
 
+def open_uri(uri: str) -> IO[bytes]:
+    """A file as a seekable stream, for tasks that need a part of it."""
+    fs, path = pa.fs.FileSystem.from_uri(uri)
+    return fs.open_input_file(path)
+
+
+def within_reach(uri: str) -> bool:
+    """Whether tasks can open the file themselves; some stores only Spark can read."""
+    try:
+        open_uri(uri).close()
+    except (pa.ArrowException, OSError):
+        return False
+    return True
+
+
 def suffix_of(path: Column) -> Column:
     """Lower-cased suffix with its dot; empty if there is none."""
     return F.lower(F.regexp_extract(path, r"[^/]([.][^./]+)$", 1))
