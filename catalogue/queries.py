@@ -1163,6 +1163,32 @@ def read_json_lines(spark, sf_dir):
     return read_json(spark, path).select("event_id", "user_id", "event_type", F.col("props.k").alias("k"))
 
 
+@query(
+    "read_json_kinds",
+    """SELECT event_id, user_id, event_type, NULL::BIGINT AS key, NULL::VARCHAR AS n_name FROM events
+       UNION ALL SELECT NULL, NULL, NULL, n_nationkey, n_name FROM nation""",
+)
+def read_json_kinds(spark, sf_dir):
+    """Arrays and lines of events, and an object per nation; the arrays are split into records."""
+    path = scratch_path(spark, "json")
+    bucket = (F.col("event_id") % 8).alias("bucket")
+    events = X.table(spark, sf_dir, "events").select(bucket, "event_id", "user_id", "event_type")
+    events.where("bucket > 3").write.partitionBy("bucket").json(f"{path}/lines")
+    arrays = events.where("bucket <= 3")
+    ends = arrays.groupBy("bucket").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    record = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    opens = F.when(F.col("event_id") == F.col("first"), "[").otherwise(",")
+    closes = F.when(F.col("event_id") == F.col("last"), "]").otherwise("")
+    texts = arrays.join(ends, "bucket").select("bucket", "event_id", F.concat(opens, record, closes).alias("value"))
+    texts = texts.repartition("bucket").sortWithinPartitions("bucket", "event_id").drop("event_id")
+    texts.write.partitionBy("bucket").text(f"{path}/arrays")
+    nation = X.table(spark, sf_dir, "nation").withColumn("file", F.col("n_nationkey"))
+    nation = nation.select("file", F.col("n_nationkey").alias("key"), F.struct("n_name").alias("n"))
+    nation.repartition("file").write.partitionBy("file").json(f"{path}/objects")
+    found = read_json(spark, [f"{path}/{kind}/*" for kind in ("arrays", "lines", "objects")], split_over=0)
+    return found.select("event_id", "user_id", "event_type", "key", F.col("`n.n_name`").alias("n_name"))
+
+
 @query(
     "read_archives",
     "SELECT c_custkey::VARCHAR AS id, c_name AS name, c_mktsegment AS segment FROM customer",

@@ -29,6 +29,7 @@ TYPE_PRIORITY = {"csv": 1, "json": 2, "excel": 3, "parquet": 4}
 class SourceFile(NamedTuple):
     path: str  # as a reader takes it
     file_path: str  # as ``_metadata.file_path`` shows it
+    length: int = 0
 
 
 def list_files(
@@ -58,8 +59,8 @@ def files_exist(
 def resolve(spark: SparkSession, paths: str | Sequence[str]) -> list[SourceFile]:
     """The files below ``paths``; the driver lists them to plan any scan anyway."""
     roots = [paths] if isinstance(paths, str) else list(paths)
-    found = spark.read.format("binaryFile").load(roots).select("path", "_metadata.file_path")
-    return sorted(SourceFile(r["path"], r["file_path"]) for r in found.collect())
+    found = spark.read.format("binaryFile").load(roots).select("path", "_metadata.file_path", "length")
+    return sorted(SourceFile(*r) for r in found.collect())
 
 
 def open_uri(uri: str) -> IO[bytes]:

@@ -11,6 +11,7 @@ from kinfold.sources.api_pages import explode_api_records
 from kinfold.sources.archives import explode_archives, member_type, read_archives, read_members
 from kinfold.sources.delimited import Layout, find_layout, read_delimited
 from kinfold.sources.files import audit_paths, classify_files, files_exist, list_files, sort_by_priority
+from kinfold.sources import json_records
 from kinfold.sources.json_records import array_records, json_kind, read_json
 from kinfold.sources.loader import load_dataframe
 from kinfold.sources.sinks import write_stage
@@ -137,6 +138,35 @@ def test_read_json(spark, tmp_path):
         read_json(spark, str(tmp_path / "s.json"))
 
 
+@pytest.mark.parametrize("reach", [True, False])
+def test_json_kinds_of_files(spark, tmp_path, monkeypatch, reach):
+    monkeypatch.setattr(json_records, "within_reach", lambda uri: reach)
+    texts = {
+        "a1": '[{"x": 1}]', "a2": "\ufeff\n \n[\n]", "o1": '{"x": 1}', "o2": '\n{\n"x": 1}\n', "o3": '{"x":\n1}',
+        "l1": '{"x": 1}\n\n{"x": 2}', "l2": '\ufeff{"x": "' + "y" * 100_000 + '"}\n{"x": 2}\n',
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    files = json_records.resolve(spark, str(tmp_path))
+    kinds = json_records.find_kinds(spark, files)
+    assert {p.rsplit("/", 1)[1][0]: k for p, k in kinds.items()} == {"a": "array", "o": "object", "l": "lines"}
+    assert len(kinds) == len(texts)
+
+
+def test_large_arrays_are_split(spark, tmp_path):
+    records = [{"x": i, "t": "a\nb ]", "n": {"k": [{"q": None, "z": i}]}} for i in range(20_000)]
+    (tmp_path / "a.json").write_text(json.dumps(records, indent=2))
+    (tmp_path / "b.json").write_text(json.dumps(records[:5]))
+    (tmp_path / "e.json").write_text("[]")
+    small = read_json(spark, str(tmp_path))
+    split = read_json(spark, str(tmp_path), split_over=1000)
+    assert split.schema == small.schema and sorted(split.collect(), key=str) == sorted(small.collect(), key=str)
+    assert split.count() == 20_005
+    (tmp_path / "f.json").write_text('[{"x": 1}, {"x" 2}]')
+    with pytest.raises(Exception, match="JSONDecodeError"):
+        read_json(spark, str(tmp_path / "f.json"), split_over=0).count()
+
+
 @pytest.mark.parametrize(
     ("name", "kind"),
     [("a.csv", "csv"), ("d/e.TXT", "csv"), ("../evil.txt", None), (".hid.csv", None),
