@@ -906,6 +906,23 @@ def file_states(spark, sf_dir):
     return ingest_log.latest_state(attempt_events(spark, sf_dir)).drop("checksum")
 
 
+@query(
+    "file_states_from_snapshots",
+    with_sql(
+        STATUS_SQL,
+        "SELECT filename, status, latest_attempt, nullif(size, -1) AS size_bytes FROM state",
+    ),
+)
+def file_states_from_snapshots(spark, sf_dir):
+    """Events appended in four parts, compacted behind the first and the third."""
+    path, events = scratch_path(spark, "events"), attempt_events(spark, sf_dir)
+    for part in range(4):
+        ingest_log.append_events(events.where(F.col("seq") % 4 == part), path)
+        if part in (0, 2):
+            ingest_log.compact_events(spark, path)
+    return ingest_log.latest_state(ingest_log.read_current(spark, path)).drop("checksum")
+
+
 @query(
     "file_attempts",
     with_sql(
@@ -1030,6 +1047,65 @@ def audit_landed_pages(spark, sf_dir):
     return audit_files(files, expected, min_size=3000)
 
 
+EVENTS_A_FILE = 5000
+
+
+def event_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events as text files ``events_<i>.txt`` of consecutive ids; the path of the folder."""
+    path = scratch_path(spark, "event_files")
+    root = path if "://" in path else f"file://{path.removeprefix('file:')}"
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, folder = pa.fs.FileSystem.from_uri(root)
+        fs.create_dir(folder)
+        out, current = None, None
+        for batch in batches:
+            for file, rows in batch.groupby("file", sort=False):
+                if file != current:
+                    if out is not None:
+                        out.close()
+                    out, current = fs.open_output_stream(f"{folder}/events_{file}.txt"), file
+                out.write(("\n".join(rows["line"]) + "\n").encode())
+            yield pd.DataFrame({"rows": [len(batch)]})
+        if out is not None:
+            out.close()
+
+    rows = event_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "event_id")
+    materialize(rows.mapInPandas(write, "rows bigint"), "written")
+    return path
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.concat_ws(",", F.col("event_id").cast("string"), "event_type", "props")
+    file = F.floor(F.col("event_id") / EVENTS_A_FILE)
+    return X.table(spark, sf_dir, "events").select(file.alias("file"), "event_id", line.alias("line"))
+
+
+@query(
+    "audit_event_files",
+    f"""WITH files AS (
+          SELECT event_id // {EVENTS_A_FILE} AS file,
+                 string_agg(concat_ws(',', event_id::VARCHAR, event_type, props) || chr(10), ''
+                            ORDER BY event_id) AS content
+          FROM events GROUP BY 1
+        )
+        SELECT 'events_' || file || '.txt' AS name, strlen(content)::BIGINT AS size,
+               sha256(content) AS sha256, file % 3 <> 1 AS ok,
+               CASE WHEN file % 3 = 1 THEN 'checksum differs' END AS reason FROM files
+        UNION ALL SELECT 'gone.txt', NULL, NULL, false, 'missing'""",
+)
+def audit_event_files(spark, sf_dir):
+    """Files hashed in chunks, against checksums of which a third are wrong and a third unknown."""
+    path = event_files(spark, sf_dir)
+    lines = F.array_sort(F.collect_list(F.struct("event_id", "line")))["line"]
+    content = F.concat(F.array_join(lines, "\n"), F.lit("\n"))  # of EVENTS_A_FILE events
+    known = event_lines(spark, sf_dir).groupBy("file").agg(F.sha2(content.cast("binary"), 256).alias("right"))
+    wanted = F.when(F.col("file") % 3 == 0, F.upper("right")).when(F.col("file") % 3 == 1, F.lit("0" * 64))
+    expected = known.select(F.concat(F.lit("events_"), "file", F.lit(".txt")).alias("name"), wanted.alias("sha256"))
+    gone = spark.createDataFrame([("gone.txt", None)], expected.schema)
+    return audit_paths(spark, path, expected.unionByName(gone))
+
+
 @query("audit_table_files")
 def audit_table_files(spark, sf_dir):
     return audit_paths(spark, f"{sf_dir}/*.parquet")

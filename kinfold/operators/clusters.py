@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kinfold.operators.identity import number_in_order
@@ -117,6 +117,29 @@ def assign_golden_ids(labelled: DataFrame, id_col: str = "unique_id") -> DataFra
     return labelled.join(numbers, "component").select("golden_id", *columns)
 
 
+def golden_table(
+    labelled: DataFrame, id_col: str = "unique_id", source: str = "county_desc"
+) -> tuple[DataFrame, dict[str, int]]:
+    """The golden ids written once, and what the write has counted on its way.
+
+    Columns ``golden_id``, ``id_col``, ``source`` and ``county_count``, the distinct sources of the entity,
+    so that reports only filter. ``records``, ``golden_ids`` and ``multi_source_ids`` are observed in
+    the last stage of the write, whose rows count once even if tasks run again.
+    """
+    entities = labelled.groupBy("component").agg(F.count_distinct(source).alias("county_count"))
+    numbered = number_in_order(entities, ["component"], "golden_id")
+    seen = Observation("golden ids")
+    head = F.col(id_col) == F.col("component")
+    rows = labelled.select(id_col, source, "component").join(numbered, "component").observe(
+        seen,
+        F.count("*").alias("records"),
+        F.count_if(head).alias("golden_ids"),
+        F.count_if(head & (F.col("county_count") > 1)).alias("multi_source_ids"),
+    )
+    golden = materialize(rows.select("golden_id", id_col, source, "county_count"), "golden")
+    return golden, seen.get
+
+
 def attach_records(
     golden: DataFrame, records: DataFrame, id_col: str = "unique_id"
 ) -> DataFrame:
@@ -146,32 +169,18 @@ def multi_source_report(golden: DataFrame, source: str = "county_desc") -> DataF
     ])
 
 
-def run_metrics(
-    records: DataFrame,
-    predictions: DataFrame,
-    matches: DataFrame,
-    golden: DataFrame,
-    source: str = "county_desc",
-) -> DataFrame:
+def run_metrics(counted: Mapping[str, int], predictions: DataFrame, strict: Column) -> DataFrame:
     """The counts a run reports, one row per ``metric`` with its ``value``.
 
-    Pairs are counted as record pairs, whatever number of profiles they were folded into.
+    ``counted`` comes from ``golden_table``. One pass over the predictions counts them and those that
+    are ``strict`` matches, as record pairs, whatever number of profiles they were folded into.
     """
-
-    def named(df: DataFrame, metric: str) -> DataFrame:
-        return df.select(F.lit(metric).alias("metric"), F.col("value").cast("bigint"))
-
-    pairs = F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("value")
-    rows = F.count("*").alias("value")
-    sizes = count_sources(golden, source)
-    wide = F.count_if(F.col("county_count") > 1).alias("value")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            named(records.agg(rows), "records"),
-            named(predictions.agg(pairs), "candidate_pairs"),
-            named(matches.agg(pairs), "matched_pairs"),
-            named(sizes.agg(rows), "golden_ids"),
-            named(sizes.agg(wide), "multi_source_ids"),
-        ],
+    pairs = predictions.agg(
+        F.coalesce(F.sum("n_pairs"), F.lit(0)).cast("bigint").alias("candidate_pairs"),
+        F.coalesce(F.sum(F.when(strict, F.col("n_pairs"))), F.lit(0)).cast("bigint").alias("matched_pairs"),
     )
+    names = ["records", "candidate_pairs", "matched_pairs", "golden_ids", "multi_source_ids"]
+    rows = pairs.select("*", *[F.lit(counted[n]).cast("bigint").alias(n) for n in names if n in counted])
+    return rows.select(
+        F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])).alias("x")
+    ).select("x.metric", "x.value")

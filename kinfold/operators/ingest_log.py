@@ -1,6 +1,7 @@
 """Ingestion state as an append-only table of attempt events.
 
-A file's state and an attempt's record are folds over its events, so writers only ever append.
+A file's state and an attempt's record are folds over its events, so writers only ever append. A snapshot
+of the events that decide the states spares readers what was appended before it.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.session import materialize
+from kinfold.session import create_once, materialize
 
 STARTED, COMPLETED, FAILED = "in_progress", "completed", "failed"
 EVENT = (
@@ -90,6 +91,75 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 _WHEN = ("event_ts", "seq")
+_SNAPSHOTS = "_snapshots"  # below the events, hidden from readers of all events
+
+
+def deciding_events(events: DataFrame) -> DataFrame:
+    """The events that decide the state of their files: of each the latest, and the latest that is no
+    failure. ``latest_state`` gives the same for them, whatever later events are added."""
+    time = F.struct(*_WHEN)
+    row = F.struct(*[F.col(c) for c in events.columns])
+    good = F.col("status") != FAILED
+    last = events.groupBy("filename").agg(
+        F.max_by(row, time).alias("_last"), F.max_by(F.when(good, row), F.when(good, time)).alias("_good")
+    )
+    same = F.col("_last").eqNullSafe(F.col("_good")) | F.col("_good").isNull()
+    both = F.when(same, F.array("_last")).otherwise(F.array("_last", "_good"))
+    return last.select(F.explode(both).alias("x")).select("x.*")
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+
+
+def _event_files(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in _children(spark, path) if not n.startswith(("_", "."))]
+
+
+def _newest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest snapshot that was finished."""
+    root = f"{path.rstrip('/')}/{_SNAPSHOTS}"
+    done = [n for n in _children(spark, root) if "_SUCCESS" in _children(spark, f"{root}/{n}/covered")]
+    return f"{root}/{max(done, key=int)}" if done else None
+
+
+def _current(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """Deciding events of the newest snapshot with all events after it, and the names of all files."""
+    names, snapshot = _event_files(spark, path), _newest_snapshot(spark, path)
+    reader = spark.read.schema(EVENT)
+    if snapshot is None:
+        return reader.parquet(path), names
+    covered = {r["name"] for r in spark.read.schema("name string").parquet(f"{snapshot}/covered").collect()}
+    tail = [f"{path.rstrip('/')}/{n}" for n in names if n not in covered]
+    return reader.parquet(f"{snapshot}/events", *tail), names
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """Events that give the same state as all of them: the newest snapshot's and those after it.
+
+    What a snapshot covers is not read. For the history of attempts take ``read_events``.
+    """
+    return _current(spark, path)[0]
+
+
+def compact_events(spark: SparkSession, path: str) -> None:
+    """Write a snapshot of the deciding events of everything appended so far.
+
+    It holds at most two events per file. The list of the event files it covers is written last and
+    makes it valid; events that are appended meanwhile are in none of them. Old events stay.
+    """
+    events, names = _current(spark, path)
+    root = f"{path.rstrip('/')}/{_SNAPSHOTS}"
+    number = max((int(n) for n in _children(spark, root) if n.isdigit()), default=0) + 1
+    while not create_once(spark, f"{root}/{number}/_claim"):
+        number += 1
+    deciding_events(events).write.mode("overwrite").parquet(f"{root}/{number}/events")
+    covered = spark.createDataFrame([(n,) for n in names], "name string")
+    covered.write.mode("overwrite").parquet(f"{root}/{number}/covered")
 
 
 def latest_state(events: DataFrame) -> DataFrame:

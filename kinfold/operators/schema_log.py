@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.session import create_once, materialize, remove_file
+
 SNAPSHOT = (
     "dataset string, version bigint, ordinal int, column string, dtype string, column_count int, "
     "row_count bigint, generated_at timestamp, filename string, source string, "
@@ -58,9 +62,53 @@ def extract_schema(
     )
 
 
+class VersionTaken(ValueError):
+    """Another snapshot is registered under this dataset and version."""
+
+
 def register(snapshot: DataFrame, path: str) -> None:
-    """Append a snapshot to the history."""
-    snapshot.write.mode("append").parquet(path)
+    """Add a snapshot to the history, or raise ``VersionTaken``.
+
+    The version is claimed first, by creating a file that must not exist. Of several writers one
+    succeeds, and the history never shows two snapshots of a version. A claim whose writer then
+    fails is given back; if it cannot be, its version stays unused.
+    """
+    spark = snapshot.sparkSession
+    rows = materialize(snapshot, "snapshot")
+    claimed: list[str] = []
+    try:
+        for r in rows.select("dataset", "version").distinct().collect():  # one, as a rule
+            name = quote(r["dataset"], safe="")
+            claim = f"{path.rstrip('/')}/_versions/{name}/{r['version']}"
+            if not create_once(spark, claim):
+                raise VersionTaken(f"version {r['version']} of {r['dataset']} is registered already")
+            claimed.append(claim)
+        rows.write.mode("append").parquet(path)
+    except Exception:
+        for claim in claimed:
+            remove_file(spark, claim)
+        raise
+
+
+def register_next(
+    df: DataFrame, path: str, dataset: str, generated_at: datetime, **about: str | int | None
+) -> int:
+    """Register a snapshot of ``df`` under the next free version, which is returned."""
+    spark = df.sparkSession
+    snapshot = materialize(extract_schema(df, dataset, 0, generated_at, **about), "snapshot")
+    version = 1
+    try:
+        past = history(spark, path).where(F.col("dataset") == dataset)
+        version = (past.agg(F.max("version")).first()[0] or 0) + 1
+    except AnalysisException:  # no history yet
+        pass
+    while True:
+        try:
+            register(snapshot.withColumn("version", F.lit(version).cast("bigint")), path)
+        except VersionTaken:  # by another writer in the meantime
+            version += 1
+        else:
+            return version
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:

@@ -39,17 +39,26 @@ def predict(gammas: DataFrame, model: Model, threshold: float = 0.92) -> DataFra
     return score(gammas, model).where(F.col("match_probability") >= threshold)
 
 
-def strict_matches(
-    predictions: DataFrame,
+def is_strict(
     threshold: float = 0.93,
     equal: tuple[str, ...] = ("gender_code", "birth_year"),
     positive: str = "gamma_last_name",
-) -> DataFrame:
-    """Pairs that may join one entity: likely, equal where it must be, alike in the last name.
+) -> Column:
+    """Whether a pair may join one entity: likely, equal where it must be, alike in the last name.
 
     A null on either side fails the test.
     """
     keep = F.col("match_probability") >= threshold
     for c in equal:
         keep = keep & (F.col(f"{c}_l") == F.col(f"{c}_r"))
-    return predictions.where(keep & (F.col(positive) > 0))
+    return keep & (F.col(positive) > 0)
+
+
+def strict_matches(
+    predictions: DataFrame,
+    threshold: float = 0.93,
+    equal: tuple[str, ...] = ("gender_code", "birth_year"),
+    positive: str = "gamma_last_name",
+) -> DataFrame:
+    """The pairs that are strict, see ``is_strict``."""
+    return predictions.where(is_strict(threshold, equal, positive))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.operators import ingest_log as log
@@ -43,7 +44,7 @@ def ingest_files(
     found = list_files(spark, paths).select("path").union(empty_files(spark, paths).select("path"))
     listed = found.select("path", file_name(F.col("path")).alias("filename"))
     audited = audit_paths(spark, paths, expected, min_size)
-    events = _or_none(lambda: log.read_events(spark, events_path))
+    events = _or_none(lambda: log.read_current(spark, events_path))
     pending = listed if events is None else log.pending_files(listed, events, audited, overwrite)
     started = log.start_attempts(pending, source, at)
     if started.isEmpty():
@@ -54,12 +55,13 @@ def ingest_files(
     )
     bad = checked.where("NOT ok").select("filename", F.col("reason").alias("error"))
     log.append_events(started.unionByName(log.fail_attempts(started, bad, at)), events_path)
-    ready = pending.join(good, "filename", "left_semi").select("path").collect()  # a file list
+    ready = pending.join(good, "filename").select("path", "filename", "size_bytes", "checksum")
+    ready = ready.orderBy("filename").collect()  # a file list
     if not ready:
         return Ingested(None, None, None)
     try:
         table, snapshot, changes = _load(
-            spark, [r["path"] for r in ready], schemas_path, dataset, version, at, source, multi_line
+            spark, ready, schemas_path, dataset, version, at, source, multi_line
         )
     except Exception as error:
         lost = good.select("filename", F.lit(f"{type(error).__name__}: {error}"[:500]).alias("error"))
@@ -69,10 +71,26 @@ def ingest_files(
     return Ingested(table, snapshot, changes)
 
 
-def _load(spark, paths, schemas_path, dataset, version, at, source, multi_line):
+def _about(files: Sequence[Row]) -> dict[str, str | int | None]:
+    """Name, size and hash of a snapshot's file; of several the sum and the hash of their hashes."""
+    hashes = [f["checksum"] for f in files]
+    if None in hashes:
+        whole = None
+    else:
+        whole = hashes[0] if len(hashes) == 1 else hashlib.sha256("".join(hashes).encode()).hexdigest()
+    return {
+        "filename": files[0]["filename"] if len(files) == 1 else None,
+        "file_size_bytes": sum(f["size_bytes"] for f in files),
+        "file_hash": whole,
+    }
+
+
+def _load(spark, files, schemas_path, dataset, version, at, source, multi_line):
     """Read the files, register their schema and compare it with the one before."""
-    table = load_dataframe(spark, paths, multi_line=multi_line)
-    snapshot = schema_log.extract_schema(table, dataset, version, at, source=source)
+    table = load_dataframe(spark, [f["path"] for f in files], multi_line=multi_line)
+    snapshot = schema_log.extract_schema(
+        table, dataset, version, at, source=source, **_about(files)
+    )
     past = _or_none(lambda: schema_log.history(spark, schemas_path))
     changes = None
     if past is not None:

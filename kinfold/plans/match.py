@@ -19,10 +19,9 @@ from kinfold.operators.blocking import (
     widest_rules,
 )
 from kinfold.operators.clusters import (
-    assign_golden_ids,
     attach_records,
     connected_components,
-    multi_source_report,
+    golden_table,
     run_metrics,
     spread_components,
 )
@@ -44,7 +43,7 @@ from kinfold.operators.entities import (
 )
 from kinfold.operators.identity import sample_exactly
 from kinfold.operators.mapping import drop_null_ids, stamp_run, union_all_by_name
-from kinfold.operators.scoring import predict, strict_matches
+from kinfold.operators.scoring import is_strict, predict, strict_matches
 from kinfold.operators.training import Model, estimate_prior, train_m, train_u
 from kinfold.session import materialize
 
@@ -234,11 +233,16 @@ class MatchResult:
         return strict_matches(self.predictions, s.match_at, s.equal, s.alike)
 
     @cached_property
-    def golden_ids(self) -> DataFrame:
-        """Golden id, record id and source; written once, as every report starts from it."""
+    def _golden(self) -> tuple[DataFrame, dict[str, int]]:
         s = self.settings
         labels = entity_labels(self.people, self.profiles, self.model, s)
-        return materialize(assign_golden_ids(labels, s.id_col), "golden")
+        return golden_table(labels, s.id_col, s.source)
+
+    @property
+    def golden_ids(self) -> DataFrame:
+        """Golden id, record id, source and the entity's number of sources; written once, as every
+        report starts from it."""
+        return self._golden[0]
 
     @cached_property
     def golden(self) -> DataFrame:
@@ -251,10 +255,10 @@ class MatchResult:
     def multi_source(self) -> DataFrame:
         """Members of the entities that occur in more than one source.
 
-        Only ids are grouped and joined; the records of the members found come last.
+        The records of the members found come last.
         """
         s = self.settings
-        members = multi_source_report(self.golden_ids, s.source).drop(s.source)
+        members = self.golden_ids.where("county_count > 1").drop(s.source)
         found = members.join(self.records, s.id_col, "left").select(
             "golden_id",
             "county_count",
@@ -265,9 +269,10 @@ class MatchResult:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return run_metrics(
-            self.records, self.predictions, self.matches, self.golden_ids, self.settings.source
-        )
+        """Counts seen when the golden ids were written, and one pass over the predictions."""
+        s = self.settings
+        strict = is_strict(s.match_at, s.equal, s.alike)
+        return run_metrics(self._golden[1], self.predictions, strict)
 
 
 def match_records(

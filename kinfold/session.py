@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -60,3 +62,35 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there. Of several callers at most one gets True.
+
+    On local disks the operating system guarantees that, elsewhere the file system's exclusive create
+    (HDFS and the object stores that support conditional writes).
+    """
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    fs = target.getFileSystem(conf)
+    fs.mkdirs(target.getParent())
+    if fs.getScheme() == "file":
+        try:
+            os.close(os.open(target.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError as error:
+        if fs.exists(target):
+            return False
+        raise error
+    return True
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    target.getFileSystem(conf).delete(target, False)

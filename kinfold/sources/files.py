@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Iterator, Sequence
 from typing import IO, NamedTuple
 
 import pyarrow as pa
@@ -10,6 +12,10 @@ import pyarrow.fs  # noqa: F401
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+CHUNK_BYTES = 8 << 20  # of a file that is hashed
+PART_BYTES = 128 << 20  # of small files that one task hashes
 
 # File types by suffix.
 TYPE_BY_SUFFIX = {
@@ -126,12 +132,15 @@ def audit_files(
 ) -> DataFrame:
     """``name``, ``size``, ``sha256``, ``ok`` and ``reason`` per file.
 
-    ``files`` has ``path`` and ``length``, and ``content`` if checksums are wanted; ``expected``
-    has ``name`` and ``sha256`` (any case; null accepts any content). Expected files that are not
-    there are reported as missing. A checksum needs a whole file in one task, which bounds such
-    files to the 2 GB of a binary value; the size check reads no content.
+    ``files`` has ``path`` and ``length``, and ``sha256`` (see ``file_digests``) or ``content`` if
+    checksums are wanted; ``expected`` has ``name`` and ``sha256`` (any case; null accepts any content).
+    Expected files that are not there are reported as missing.
     """
-    digest = F.sha2("content", 256) if "content" in files.columns else F.lit(None).cast("string")
+    digest = F.lit(None).cast("string")
+    if "sha256" in files.columns:
+        digest = F.col("sha256")
+    elif "content" in files.columns:
+        digest = F.sha2("content", 256)
     found = files.select(
         file_name(F.col("path")).alias("name"), F.col("length").alias("size"), digest.alias("sha256")
     )
@@ -167,6 +176,68 @@ def empty_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.createDataFrame(found, "path string, length bigint")
 
 
+class _Files(InputPartition):
+    def __init__(self, files: list[tuple[str, str, int]]) -> None:
+        self.files = files
+
+
+class DigestReader(DataSourceReader):
+    """Files in parts of about ``PART_BYTES``; a larger file is a part of its own."""
+
+    def __init__(self, files: list[tuple[str, str, int]], chunk: int) -> None:
+        self._files, self._chunk = files, chunk
+
+    def partitions(self) -> Sequence[InputPartition]:
+        parts: list[list[tuple[str, str, int]]] = []
+        held = PART_BYTES
+        for file in sorted(self._files, key=lambda f: (-f[2], f[0])):
+            if held + file[2] > PART_BYTES:
+                parts.append([])
+                held = 0
+            parts[-1].append(file)
+            held += max(file[2], 1)
+        return [_Files(p) for p in parts] or [_Files([])]
+
+    def read(self, partition: _Files) -> Iterator[tuple[str, int, str]]:
+        for path, uri, length in partition.files:
+            digest = hashlib.sha256()
+            with open_uri(uri) as stream:
+                while part := stream.read(self._chunk):
+                    digest.update(part)
+            yield path, length, digest.hexdigest()
+
+
+class DigestSource(DataSource):
+    """``spark.read.format("file_digests")``; options ``files`` (path, URI, length) and ``chunk``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "file_digests"
+
+    def schema(self) -> str:
+        return "path string, length bigint, sha256 string"
+
+    def reader(self, schema) -> DigestReader:  # noqa: ARG002
+        files = [tuple(f) for f in json.loads(self.options["files"])]
+        return DigestReader(files, int(self.options["chunk"]))
+
+
+def file_digests(
+    spark: SparkSession, paths: str | Sequence[str], chunk: int = CHUNK_BYTES
+) -> DataFrame:
+    """``path, length, sha256`` of files of any size: a task streams a file in chunks.
+
+    Files that only Spark can open are hashed as binary values, which bounds those to 2 GB.
+    """
+    files = resolve(spark, paths)
+    if files and not within_reach(files[0].file_path):
+        content = spark.read.format("binaryFile").load([f.path for f in files])
+        return content.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    spark.dataSource.register(DigestSource)
+    reader = spark.read.format("file_digests").option("files", json.dumps(files))
+    return reader.option("chunk", str(chunk)).load()
+
+
 def audit_paths(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -174,9 +245,9 @@ def audit_paths(
     min_size: int = 1,
 ) -> DataFrame:
     """:func:`audit_files` over a path or glob; content is read only to compare checksums."""
-    roots = [paths] if isinstance(paths, str) else list(paths)
-    files = spark.read.format("binaryFile").load(roots).select("path", "length", "content")
-    files = files.unionByName(empty_files(spark, roots).withColumn("content", F.lit(b"")))
     if expected is None:
-        files = files.drop("content")
+        none = empty_files(spark, paths)
+        return audit_files(list_files(spark, paths).select("path", "length").unionByName(none), None, min_size)
+    nothing = F.sha2(F.lit(b""), 256).alias("sha256")
+    files = file_digests(spark, paths).unionByName(empty_files(spark, paths).select("*", nothing))
     return audit_files(files, expected, min_size)
