@@ -75,6 +75,8 @@ RUN_AT = datetime(2024, 1, 1)
 RUN_SQL = "TIMESTAMP '2024-01-01 00:00:00'"
 SETTINGS = M.MatchSettings(max_iterations=EM_ITERATIONS, tolerance=0.0)
 
+ROWS_A_FILE = 5000  # of the files that queries write and read back
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -908,16 +910,36 @@ def file_states(spark, sf_dir):
 
 @query(
     "file_states_from_snapshots",
-    with_sql(
-        STATUS_SQL,
-        "SELECT filename, status, latest_attempt, nullif(size, -1) AS size_bytes FROM state",
-    ),
+    """WITH log AS (
+         SELECT 'file_' || n_chars AS filename, doc_id AS seq, doc_id % 3 = 0 AS bad,
+                CASE doc_id % 3 WHEN 0 THEN 'failed' WHEN 1 THEN 'in_progress' ELSE 'completed' END AS status,
+                CASE WHEN doc_id % 3 = 2 THEN n_chars ELSE -1 END AS size
+         FROM documents
+       )
+       SELECT filename, arg_max(status, seq) AS status,
+              arg_max('attempt_' || seq, seq) FILTER (NOT bad) AS latest_attempt,
+              nullif(arg_max(size, seq) FILTER (NOT bad), -1) AS size_bytes
+       FROM log GROUP BY filename""",
 )
 def file_states_from_snapshots(spark, sf_dir):
-    """Events appended in four parts, compacted behind the first and the third."""
-    path, events = scratch_path(spark, "events"), attempt_events(spark, sf_dir)
+    """Documents as events, appended in four parts and compacted behind the first and the third."""
+    seq = F.col("doc_id")
+    status = F.when(seq % 3 == 0, ingest_log.FAILED).when(seq % 3 == 1, ingest_log.STARTED)
+    none = F.lit(None).cast("string")
+    events = X.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("file_"), F.col("n_chars").cast("string")).alias("filename"),
+        F.concat(F.lit("attempt_"), seq.cast("string")).alias("attempt_id"),
+        none.alias("source"),
+        status.otherwise(ingest_log.COMPLETED).alias("status"),
+        F.lit(RUN_AT).cast("timestamp").alias("event_ts"),
+        seq.alias("seq"),
+        F.when(seq % 3 == 2, F.col("n_chars")).alias("size_bytes"),
+        none.alias("checksum"),
+        none.alias("error"),
+    )
+    path = scratch_path(spark, "events")
     for part in range(4):
-        ingest_log.append_events(events.where(F.col("seq") % 4 == part), path)
+        ingest_log.append_events(events.where(F.floor(seq / ROWS_A_FILE) % 4 == part), path)
         if part in (0, 2):
             ingest_log.compact_events(spark, path)
     return ingest_log.latest_state(ingest_log.read_current(spark, path)).drop("checksum")
@@ -1047,12 +1069,9 @@ def audit_landed_pages(spark, sf_dir):
     return audit_files(files, expected, min_size=3000)
 
 
-EVENTS_A_FILE = 5000
-
-
-def event_files(spark: SparkSession, sf_dir: str) -> str:
-    """Events as text files ``events_<i>.txt`` of consecutive ids; the path of the folder."""
-    path = scratch_path(spark, "event_files")
+def fact_files(spark: SparkSession, sf_dir: str) -> str:
+    """Facts of documents as text files ``facts_<i>.txt`` of consecutive ids; the path of the folder."""
+    path = scratch_path(spark, "fact_files")
     root = path if "://" in path else f"file://{path.removeprefix('file:')}"
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -1064,44 +1083,44 @@ def event_files(spark: SparkSession, sf_dir: str) -> str:
                 if file != current:
                     if out is not None:
                         out.close()
-                    out, current = fs.open_output_stream(f"{folder}/events_{file}.txt"), file
+                    out, current = fs.open_output_stream(f"{folder}/facts_{file}.txt"), file
                 out.write(("\n".join(rows["line"]) + "\n").encode())
             yield pd.DataFrame({"rows": [len(batch)]})
         if out is not None:
             out.close()
 
-    rows = event_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "event_id")
+    rows = fact_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "doc_id")
     materialize(rows.mapInPandas(write, "rows bigint"), "written")
     return path
 
 
-def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.concat_ws(",", F.col("event_id").cast("string"), "event_type", "props")
-    file = F.floor(F.col("event_id") / EVENTS_A_FILE)
-    return X.table(spark, sf_dir, "events").select(file.alias("file"), "event_id", line.alias("line"))
+def fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), "source", "lang")
+    file = F.floor(F.col("doc_id") / ROWS_A_FILE)
+    return X.table(spark, sf_dir, "documents").select(file.alias("file"), "doc_id", line.alias("line"))
 
 
 @query(
-    "audit_event_files",
+    "audit_fact_files",
     f"""WITH files AS (
-          SELECT event_id // {EVENTS_A_FILE} AS file,
-                 string_agg(concat_ws(',', event_id::VARCHAR, event_type, props) || chr(10), ''
-                            ORDER BY event_id) AS content
-          FROM events GROUP BY 1
+          SELECT doc_id // {ROWS_A_FILE} AS file,
+                 string_agg(concat_ws(',', doc_id::VARCHAR, source, lang) || chr(10), ''
+                            ORDER BY doc_id) AS content
+          FROM documents GROUP BY 1
         )
-        SELECT 'events_' || file || '.txt' AS name, strlen(content)::BIGINT AS size,
+        SELECT 'facts_' || file || '.txt' AS name, strlen(content)::BIGINT AS size,
                sha256(content) AS sha256, file % 3 <> 1 AS ok,
                CASE WHEN file % 3 = 1 THEN 'checksum differs' END AS reason FROM files
         UNION ALL SELECT 'gone.txt', NULL, NULL, false, 'missing'""",
 )
-def audit_event_files(spark, sf_dir):
+def audit_fact_files(spark, sf_dir):
     """Files hashed in chunks, against checksums of which a third are wrong and a third unknown."""
-    path = event_files(spark, sf_dir)
-    lines = F.array_sort(F.collect_list(F.struct("event_id", "line")))["line"]
-    content = F.concat(F.array_join(lines, "\n"), F.lit("\n"))  # of EVENTS_A_FILE events
-    known = event_lines(spark, sf_dir).groupBy("file").agg(F.sha2(content.cast("binary"), 256).alias("right"))
+    path = fact_files(spark, sf_dir)
+    lines = F.array_sort(F.collect_list(F.struct("doc_id", "line")))["line"]
+    content = F.concat(F.array_join(lines, "\n"), F.lit("\n"))  # of ROWS_A_FILE documents
+    known = fact_lines(spark, sf_dir).groupBy("file").agg(F.sha2(content.cast("binary"), 256).alias("right"))
     wanted = F.when(F.col("file") % 3 == 0, F.upper("right")).when(F.col("file") % 3 == 1, F.lit("0" * 64))
-    expected = known.select(F.concat(F.lit("events_"), "file", F.lit(".txt")).alias("name"), wanted.alias("sha256"))
+    expected = known.select(F.concat(F.lit("facts_"), "file", F.lit(".txt")).alias("name"), wanted.alias("sha256"))
     gone = spark.createDataFrame([("gone.txt", None)], expected.schema)
     return audit_paths(spark, path, expected.unionByName(gone))
 
@@ -1136,47 +1155,56 @@ def read_delimited_files(spark, sf_dir):
     return read_delimited(spark, path)
 
 
-# Customers as lines of two kinds of file: by pipes behind a preamble, or by commas in Latin-1. Some
+# Documents as lines of two kinds of file: by pipes behind a preamble, or by commas in Latin-1. Some
 # lines have a field too many, lack the last two, or end inside a quoted field.
 FOUND = ("id", "name", "nation", "balance", "segment", "city", "note")
-MESSY_SQL = """
+MESSY_SQL = f"""
 messy AS (
-  SELECT c_custkey, c_custkey % 4 AS file, c_custkey % 11 = 0 AS long, c_custkey % 13 = 0 AS open,
-         c_custkey % 7 = 0 AS short,
-         c_custkey::VARCHAR AS id, c_name AS name, c_nationkey::VARCHAR AS nation,
-         (c_custkey * 3)::VARCHAR AS balance, c_mktsegment AS segment,
-         'Ciudad é' || c_nationkey AS city, 'n' || c_custkey AS note
-  FROM customer
+  SELECT doc_id, doc_id // {ROWS_A_FILE} AS file, doc_id % 11 = 0 AS long, doc_id % 13 = 0 AS open,
+         doc_id % 7 = 0 AS short,
+         doc_id::VARCHAR AS id, source AS name, lang AS nation, (n_chars * 3)::VARCHAR AS balance,
+         lang || source AS segment, 'Ciudad é' || doc_id % 50 AS city, 'n' || doc_id AS note
+  FROM documents
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY file ORDER BY c_custkey) + if(file < 2, 3, 1) AS line
+  SELECT *, row_number() OVER (PARTITION BY file ORDER BY doc_id) + if(file % 2 = 0, 3, 1) AS line
   FROM messy
 )"""
 
 
 def messy_files(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The paths of the files, each in the order of its customers."""
-    path, key = scratch_path(spark, "messy"), F.col("c_custkey")
-    behind = key % 4 < 2
-    sep = F.when(behind, "|").otherwise(",")
-    city = F.concat(F.lit("Ciudad é"), F.col("c_nationkey").cast("string"))
+    """The paths of the files, each in the order of its documents."""
+    path, key = scratch_path(spark, "messy"), F.col("doc_id")
+    file = F.floor(key / ROWS_A_FILE)
+    piped = file % 2 == 0
+    city = F.concat(F.lit("Ciudad é"), (key % 50).cast("string"))
     note = F.concat(F.lit("n"), key.cast("string"))
-    values = [key, F.col("c_name"), F.col("c_nationkey"), key * 3, F.col("c_mktsegment"), city, note]
+    values = [key, F.col("source"), F.col("lang"), F.col("n_chars") * 3, F.concat("lang", "source"), city, note]
     values = F.array(*[F.coalesce(v.cast("string"), F.lit("")) for v in values])
     values = F.when((key % 11 == 0) & (key % 13 != 0), F.concat(values, F.array(F.lit("more")))).when(
         (key % 7 == 0) & (key % 13 != 0), F.slice(values, 1, 5)
     ).otherwise(values)
-    line = F.when(behind, F.array_join(values, "|")).otherwise(F.array_join(values, ","))
-    line = F.when(key % 13 == 0, F.concat(line, sep, F.lit('"open'))).otherwise(line)
-    rows = X.table(spark, sf_dir, "customer").select((key % 4).alias("file"), key.alias("at"), line.alias("line"))
-    heads = [(f, -3 + i, t) for f in (0, 1) for i, t in enumerate(["voters", "as of today", "|".join(FOUND)])]
-    heads += [(f, -1, ",".join(FOUND)) for f in (2, 3)]
-    all_lines = rows.unionByName(spark.createDataFrame(heads, "file bigint, at bigint, line string"))
-    ordered = all_lines.repartition("file").sortWithinPartitions("file", "at")
+    line = F.when(piped, F.array_join(values, "|")).otherwise(F.array_join(values, ","))
+    open_end = F.when(piped, F.lit('|"open')).otherwise(F.lit(',"open'))
+    line = F.when(key % 13 == 0, F.concat(line, open_end)).otherwise(line)
+    docs = X.table(spark, sf_dir, "documents")
+    rows = docs.select(file.alias("file"), key.alias("at"), line.alias("line"))
+    heads = docs.select(file.alias("file")).distinct()
+    texts = F.when(piped_file(), F.array(F.lit("voters"), F.lit("as of today"), F.lit("|".join(FOUND)))).otherwise(
+        F.array(F.lit(",".join(FOUND)))
+    )
+    heads = heads.select("file", F.posexplode(texts).alias("at", "line"))
+    heads = heads.withColumn("at", F.col("at").cast("bigint") - 3)
+    ordered = rows.unionByName(heads).repartition("file").sortWithinPartitions("file", "at").drop("at")
     # Spark's CSV writer is the one that knows encodings: one column, and nothing quoted.
     plain = {"sep": "\x01", "quote": "", "encoding": "ISO-8859-1", "ignoreLeadingWhiteSpace": False}
-    ordered.where("file >= 2").select("file", "line").write.partitionBy("file").options(**plain).csv(f"{path}/latin")
-    ordered.where("file < 2").select("file", "line").write.partitionBy("file").text(f"{path}/pipes")
-    return [f"{path}/latin/*", f"{path}/pipes/*"]
+    ordered.where(~piped_file()).write.partitionBy("file").options(**plain).csv(f"{path}/latin")
+    ordered.where(piped_file()).write.partitionBy("file").text(f"{path}/pipes")
+    kinds = heads.select(piped_file().alias("piped")).distinct().collect()
+    return [f"{path}/{'pipes' if r.piped else 'latin'}/*" for r in kinds]
+
+
+def piped_file():
+    return F.col("file") % 2 == 0
 
 
 @query(
@@ -1204,7 +1232,7 @@ def read_messy_files(spark, sf_dir):
 def rejected_lines(spark, sf_dir):
     """With ``read_messy_files``, every line once."""
     rejects = read_delimited_with_rejects(spark, messy_files(spark, sf_dir))[1]
-    file = F.regexp_extract("file", "/file=([0-9])/", 1).cast("bigint")
+    file = F.regexp_extract("file", "/file=([0-9]+)/", 1).cast("bigint")
     return rejects.select(
         file.alias("file"), "line", "reason", F.regexp_extract("text", "^[0-9]+", 0).alias("id")
     )
@@ -1241,36 +1269,37 @@ def read_json_lines(spark, sf_dir):
 
 @query(
     "read_json_kinds",
-    """SELECT event_id, user_id, event_type, NULL::BIGINT AS key, NULL::VARCHAR AS n_name FROM events
+    """SELECT doc_id, source, n_chars, NULL::BIGINT AS key, NULL::VARCHAR AS n_name FROM documents
        UNION ALL SELECT NULL, NULL, NULL, n_nationkey, n_name FROM nation""",
 )
 def read_json_kinds(spark, sf_dir):
-    """Arrays and lines of events, and an object per nation; the arrays are split into records."""
+    """Arrays and lines of documents, and an object per nation; the arrays are split into records."""
     path = scratch_path(spark, "json")
-    bucket = (F.col("event_id") % 8).alias("bucket")
-    events = X.table(spark, sf_dir, "events").select(bucket, "event_id", "user_id", "event_type")
-    events.where("bucket > 3").write.partitionBy("bucket").json(f"{path}/lines")
-    arrays = events.where("bucket <= 3")
-    ends = arrays.groupBy("bucket").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
-    record = F.to_json(F.struct("event_id", "user_id", "event_type"))
-    opens = F.when(F.col("event_id") == F.col("first"), "[").otherwise(",")
-    closes = F.when(F.col("event_id") == F.col("last"), "]").otherwise("")
-    texts = arrays.join(ends, "bucket").select("bucket", "event_id", F.concat(opens, record, closes).alias("value"))
-    texts = texts.repartition("bucket").sortWithinPartitions("bucket", "event_id").drop("event_id")
-    texts.write.partitionBy("bucket").text(f"{path}/arrays")
+    file = F.floor(F.col("doc_id") / ROWS_A_FILE).alias("file")
+    docs = X.table(spark, sf_dir, "documents").select(file, "doc_id", "source", "n_chars")
+    lines = F.col("doc_id") % 2 == 0
+    docs.where(lines).write.json(f"{path}/lines")
+    arrays = docs.where(~lines)
+    ends = arrays.groupBy("file").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    record = F.to_json(F.struct("doc_id", "source", "n_chars"))
+    opens = F.when(F.col("doc_id") == F.col("first"), "[").otherwise(",")
+    closes = F.when(F.col("doc_id") == F.col("last"), "]").otherwise("")
+    texts = arrays.join(ends, "file").select("file", "doc_id", F.concat(opens, record, closes).alias("value"))
+    texts = texts.repartition("file").sortWithinPartitions("file", "doc_id").drop("doc_id")
+    texts.write.partitionBy("file").text(f"{path}/arrays")
     nation = X.table(spark, sf_dir, "nation").withColumn("file", F.col("n_nationkey"))
     nation = nation.select("file", F.col("n_nationkey").alias("key"), F.struct("n_name").alias("n"))
     nation.repartition("file").write.partitionBy("file").json(f"{path}/objects")
-    found = read_json(spark, [f"{path}/{kind}/*" for kind in ("arrays", "lines", "objects")], split_over=0)
-    return found.select("event_id", "user_id", "event_type", "key", F.col("`n.n_name`").alias("n_name"))
+    found = read_json(spark, [f"{path}/arrays/*", f"{path}/lines", f"{path}/objects/*"], split_over=0)
+    return found.select("doc_id", "source", "n_chars", "key", F.col("`n.n_name`").alias("n_name"))
 
 
 @query(
     "read_archives",
-    "SELECT c_custkey::VARCHAR AS id, c_name AS name, c_mktsegment AS segment FROM customer",
+    "SELECT doc_id::VARCHAR AS id, source AS name, lang AS segment FROM documents",
 )
-def read_customer_archives(spark, sf_dir):
-    """Customers packed into archives of a CSV, a JSON and a Parquet member, then read by member."""
+def read_document_archives(spark, sf_dir):
+    """Documents' facts packed into archives of a CSV, a JSON and a Parquet member, then read by member."""
     path = scratch_path(spark, "archives")
     root = path if "://" in path else f"file://{path.removeprefix('file:')}"
 
@@ -1284,15 +1313,15 @@ def read_customer_archives(spark, sf_dir):
             parts[2].to_parquet(columns, index=False)
             name = f"{folder}/{batch['id'].iloc[0]}.zip"  # the same whenever the task runs
             with fs.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("part/customers.csv", parts[0].to_csv(index=False))
-                z.writestr("customers.json", parts[1].to_json(orient="records"))
-                z.writestr("customers.parquet", columns.getvalue())
+                z.writestr("part/documents.csv", parts[0].to_csv(index=False))
+                z.writestr("documents.json", parts[1].to_json(orient="records"))
+                z.writestr("documents.parquet", columns.getvalue())
                 z.writestr(".hidden.csv", "id,name,segment\n-1,no,no\n")
                 z.writestr("readme.md", "not a table")
             yield pd.DataFrame({"rows": [len(batch)]})
 
-    customers = X.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    materialize(customers.mapInPandas(pack, "rows bigint"), "packed")
+    docs = X.table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    materialize(docs.mapInPandas(pack, "rows bigint"), "packed")
     return read_archives(spark, path)
 
 

@@ -25,6 +25,7 @@ from kinfold.session import materialize
 START_M_EXACT = 0.95
 START_WEIGHTS = (-5.0, 10.0)
 FLOOR = 1e-10
+TUPLE_CELL_ROWS = 1000  # of a block whose pairs are all compared by character loops
 
 
 def start_m(levels: int) -> list[float]:
@@ -145,7 +146,7 @@ def tuple_pairs(
     rule: Rule,
     comparisons: Sequence[Comparison],
     source: str = "county_desc",
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int = TUPLE_CELL_ROWS,
 ) -> DataFrame:
     """Pairs of different values inside the blocks of ``rule``, with the record pairs they stand for.
 
@@ -279,7 +280,7 @@ def train_m(
     """Learn m inside one training block; comparisons on the block's own columns keep theirs."""
     skipped = held_out(model.comparisons, rule)
     trained = [c for c in model.comparisons if c not in skipped]
-    pairs = tuple_pairs(profiles, rule, trained, source, cell_rows)
+    pairs = tuple_pairs(profiles, rule, trained, source, min(cell_rows, TUPLE_CELL_ROWS))
     counts = count_patterns(compare(pairs, trained, ["n_pairs"]), trained)
     patterns = _read_patterns(counts, trained)
     fitted, _, _ = fit_m(
