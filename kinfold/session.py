@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +48,38 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_made: list[str] = []  # scratch paths of this process, in the order they were named
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the scratch root that no other run uses."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A point in time for ``remove_scratch``."""
+    return len(_made)
+
+
+def remove_scratch(spark: SparkSession, since: int, until: int, kept: Sequence[str] = ()) -> None:
+    """Delete what was written to scratch paths named between two marks, but not below ``kept``.
+
+    For flows that know that nothing lazy reads those tables any more. Tables that the catalog knows by
+    such a path are dropped.
+    """
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for i in range(since, until):
+        path = _made[i]
+        if not path or any(f"{path.removeprefix('file:')}/" in k for k in kept):
+            continue
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+        name = path.rsplit("/", 1)[1].rsplit("-", 1)[0]
+        if name.startswith("scratch_"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _made[i] = ""
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
