@@ -43,7 +43,7 @@ PERCENT = 85
 WAVES = 1  # that verify the nearest pair of every set, before all pairs that are left
 BINS = 256  # counters of a sketch; their differences never exceed those of the sets
 COARSE_BINS = 32  # of a folded sketch
-PAIRS_AT_ONCE = 200_000  # compared with array operations; bounds the memory, not the result
+PAIRS_AT_ONCE = 20_000  # compared with array operations; bounds the memory, not the result
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 _RATIO = 1.6  # of the largest to the smallest size of a band, at least
 
@@ -96,7 +96,9 @@ def shingles(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray
 
 def _sort_rows(row: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Order by row and value when rows are in order already."""
-    bounds = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else []
+    if not len(row):
+        return np.zeros(0, np.int64)
+    bounds = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     order = np.empty(len(row), np.int64)
     for a, b in zip(bounds, [*bounds[1:], len(row)], strict=True):
         order[a:b] = a + np.argsort(value[a:b])
@@ -361,11 +363,12 @@ def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 def similar_documents(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """``doc_id, row, n_shingles, component_id`` of every row of ``docs``.
+    """``doc_id, row, n_shingles, component_id, component`` of every row of ``docs``.
 
     Texts are sets of distinct ``shingle``-word sequences, A-Z lower-cased, words being runs of
     characters that are not ASCII white space. Two texts link if their intersection is at least
-    ``percent`` hundredths of their union; ``component_id`` is the smallest ``doc_id`` reachable.
+    ``percent`` hundredths of their union; ``component_id`` is the smallest ``doc_id`` reachable. ``component`` tells
+    components apart where ids do not, and is null for texts without words.
     """
     texts = documents(docs)
     sets = materialize(
@@ -416,6 +419,8 @@ def similar_documents(
     names = materialize(
         labelled.groupBy("component").agg(F.min("doc_id").alias("component_id")), "names"
     )
-    columns = ["doc_id", "row", F.col("n").alias("n_shingles"), "component_id"]
-    alone = sets.where("n = 0").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "row", F.col("n").alias("n_shingles"), "component_id", "component"]
+    alone = sets.where("n = 0").withColumns(
+        {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}
+    )
     return labelled.join(names, "component").select(*columns).unionByName(alone.select(*columns))

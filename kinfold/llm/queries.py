@@ -21,7 +21,7 @@ from kinfold.llm import (
 )
 from kinfold.llm.tables import read, sha256
 from kinfold.llm.token_counts import TokenCounts, count_tokens
-from kinfold.session import scratch_path
+from kinfold.session import materialize, scratch_path
 
 TOKENIZER = "byte_bpe_50k"
 HELD_OUT = 2  # remainder of crc32(doc_id) by 4 that is never trained on
@@ -43,22 +43,31 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of all documents; low quality ones deleted, the other labelled ones revised."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    """Counts of all documents; low quality ones deleted, the other labelled ones revised.
+
+    Texts are counted in one pass, as they are and with white space folded. What is joined with labels
+    has counts and no texts.
+    """
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").dropDuplicates(["doc_id"])
     store = TokenCounts(spark, scratch_path(spark, "token_counts"))
+    forms = F.array(
+        F.struct(F.lit(False).alias("folded"), "text"),
+        F.struct(F.lit(True).alias("folded"), F.regexp_replace("text", r"\s+", " ").alias("text")),
+    )
+    texts = docs.select("doc_id", "source", "lang", F.inline(forms))
+    counted = materialize(count_tokens(texts, TOKENIZER, tokenizer_file()), "counted")
 
     def changes(rows: DataFrame, op: str) -> DataFrame:
-        counted = count_tokens(rows, TOKENIZER, tokenizer_file())
-        return counted.withColumns({"op": F.lit(op), "seq": F.lit(0)})
-
-    store.commit("1-load", changes(docs, "insert"))
-    store.commit("1-load", changes(docs, "insert"))  # repeated: does nothing
-    low = docs.join(labels.where("quality = 0"), "doc_id", "left_semi")
-    store.commit("2-low-quality", changes(low.withColumn("text", F.lit(None)), "delete"))
-    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
-    folded = good.withColumn("text", F.regexp_replace("text", r"\s+", " "))
-    store.commit("3-white-space-folded", changes(folded, "revise"))
+        return rows.drop("folded").withColumns({"op": F.lit(op), "seq": F.lit(0)})
+
+    plain, folded = counted.where("NOT folded"), counted.where("folded")
+    store.commit("1-load", changes(plain, "insert"))
+    store.commit("1-load", changes(plain, "insert"))  # repeated: does nothing
+    low = plain.join(labels.where("quality = 0"), "doc_id", "left_semi")
+    store.commit("2-low-quality", changes(low.withColumn("tokens", F.lit(0).cast("long")), "delete"))
+    good = folded.join(labels.where("quality = 1"), "doc_id", "left_semi")
+    store.commit("3-white-space-folded", changes(good, "revise"))
     return store.totals()
 
 
@@ -81,7 +90,7 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_documents(read(spark, sf_dir, "documents")).drop("row")
+    return jaccard.similar_documents(read(spark, sf_dir, "documents")).drop("row", "component")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

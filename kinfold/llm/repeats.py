@@ -25,11 +25,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinfold.llm import words as wd
 from kinfold.llm.tables import bucketed
@@ -168,22 +166,23 @@ def _by_document(rows: DataFrame, **lists: str) -> DataFrame:
 
 
 def _clean(window: int):
+    def cleaned(text: str, spans: list[dict]) -> tuple[int, bytes]:
+        words = text.encode().split()
+        starts = np.array([s["pos"] for s in spans])
+        sizes = np.array([s["n"] for s in spans]) - 1 + window
+        gone = wd.covered(starts, sizes, len(words))
+        return int(gone.sum()), b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            removed, kept = [], []
-            columns = (whole.column(c).to_pylist() for c in ("text", "spans"))
-            for text, spans in zip(*columns, strict=True):
-                words = text.encode().split()
-                starts = np.array([s["pos"] for s in spans])
-                sizes = np.array([s["n"] for s in spans]) - 1 + window
-                gone = wd.covered(starts, sizes, len(words))
-                removed.append(int(gone.sum()))
-                kept.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g))
-            yield pa.RecordBatch.from_arrays(
-                [*(whole.column(c) for c in _KEY), pa.array(removed, pa.int64())]
-                + [pa.array(kept, pa.binary()).cast(pa.string())],
-                names=[*_KEY, "n_removed", "kept"],
-            )
+            for batch in wd.slices(whole, "text"):  # one text at a time is held as words
+                texts, spans = batch.column("text"), batch.column("spans")
+                rows = [cleaned(texts[i].as_py(), spans[i].as_py()) for i in range(batch.num_rows)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in _KEY), pa.array([n for n, _ in rows], pa.int64())]
+                    + [pa.array([k for _, k in rows], pa.binary()).cast(pa.string())],
+                    names=[*_KEY, "n_removed", "kept"],
+                )
 
     return run
 
@@ -234,19 +233,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-@F.pandas_udf(
-    T.StructType([T.StructField("n_words", T.LongType()), T.StructField("plain", T.StringType())])
-)
-def _plain(texts: pd.Series) -> pd.DataFrame:
-    words = [(t or "").encode().split() for t in texts]
-    return pd.DataFrame(
-        {"n_words": [len(w) for w in words], "plain": [b" ".join(w).decode() for w in words]}
-    )
-
-
 def plain_words(docs: DataFrame) -> DataFrame:
     """``doc_id, row, n_words, plain`` of every row: its words joined by one space."""
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.select("doc_id", F.xxhash64("text").alias("row"), _plain("text").alias("_p")).select(
-        "doc_id", "row", "_p.n_words", "_p.plain"
-    )
+    text = F.col("text").cast("string")
+    plain = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", " "), F.lit(" "))
+    spaces = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit("")))
+    n_words = F.when(F.col("plain") == "", 0).otherwise(spaces + 1).cast("long")
+    rows = docs.select("doc_id", F.xxhash64(text).alias("row"), plain.alias("plain"))
+    return rows.select("doc_id", "row", n_words.alias("n_words"), "plain")
