@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from kinfold.llm import words as wd
 
-_CACHE = 1_500_000  # units kept by a worker; only a matter of memory
+_CACHE = 600_000  # units kept by a worker; only a matter of memory
 # Fixed value: how byte-level BPE cuts text before merging.
 _PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

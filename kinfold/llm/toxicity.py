@@ -155,7 +155,7 @@ def fit(
     spark = docs.sparkSession
     rows = materialize(_training_rows(docs, labels, max_labelled), "toxicity")
     whole_z, whole_n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
-    state = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+    state = (np.zeros(0, "i4"), np.zeros(0, "f4"), np.zeros(0, "f4"))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(state)
         changed = (
@@ -167,9 +167,9 @@ def fit(
         at = changed.column("feature").to_numpy()
         whole_z[at] += changed.column("z").to_numpy()
         whole_n[at] += changed.column("n").to_numpy()
-        index = np.flatnonzero(whole_n)
-        state = (index, whole_z[index], whole_n[index])
-    index, z, n = state
+        index = np.flatnonzero(whole_n)  # squared gradients: positive where there is evidence
+        state = (index.astype("i4"), whole_z[index].astype("f4"), whole_n[index].astype("f4"))
+    index, z, n = np.flatnonzero(whole_n), whole_z[whole_n > 0], whole_n[whole_n > 0]
     root = np.sqrt(n)
     weight = _weights(z, root)
     is_bias = index == 1 << bits

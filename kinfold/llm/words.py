@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20  # texts handled together; one longer text is a slice of its own
+SLICE_BYTES = 2 << 20  # texts handled together; one longer text is a slice of its own
 _SEGMENT = 1 << 20  # bytes hashed together; one longer word is a segment of its own
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
