@@ -14,8 +14,11 @@ incomplete partitions it signs with a larger t as well, and if that fails, once
 
 Equal sets are one vertex from the start. A bucket links its members to its smallest one first, and
 the most promising of these pairs are verified with whole sets. Then members of one bucket in different
-components are compared by sketches that bound the difference of two sets from below. What these leave
-is verified, the nearest pair of every set first, and never a pair of one component. Comparing
+components are compared by sketches that bound the difference of two sets from below, in waves: every
+member names its nearest partners in other components, these pairs are verified, components grow, and the
+next wave looks only at buckets that still have several components, for four times as many partners. The
+last wave is the one in which no member had further partners to name, so every pair was verified or is
+inside a component. A wave's pairs grow with the members, not with the pairs of a bucket; comparing
 sketches is quadratic, in block pairs, in members that are alike in a sub-partition and not connected.
 
 Defined results: null and empty texts have no shingle, link with nothing and are their own component;
@@ -40,10 +43,12 @@ from kinfold.session import materialize
 
 SHINGLE = 4
 PERCENT = 85
-WAVES = 1  # that verify the nearest pair of every set, before all pairs that are left
 BINS = 256  # counters of a sketch; their differences never exceed those of the sets
 COARSE_BINS = 32  # of a folded sketch
 PAIRS_AT_ONCE = 20_000  # compared with array operations; bounds the memory, not the result
+HELD_PAIRS = 200_000  # of a task, before those that are not among the nearest go
+BLOCK_ROWS = 1000  # of a large bucket, compared with another block
+MORE = 4  # times as many partners in each wave as in the one before
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 _RATIO = 1.6  # of the largest to the smallest size of a band, at least
 
@@ -273,33 +278,58 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(labelled.join(open_buckets, "sig"), "members")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component yet."""
-    for c in "ab":
-        own = labels.select(F.col("vertex").alias(c), F.col("component").alias(f"c_{c}"))
-        pairs = pairs.join(own, c, "left").withColumn(f"c_{c}", F.coalesce(f"c_{c}", c))
-    return materialize(pairs.where("c_a != c_b").drop("c_a", "c_b"), "pairs")
+class _Nearest:
+    """The ``most`` nearest partners of every row, of pairs that come in parts of bounded size."""
 
+    def __init__(self, rows: int, most: int) -> None:
+        self.most = most
+        self.more = np.zeros(rows, bool)  # rows that have further partners
+        self.row, self.other, self.far = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
 
-def _nearest(pairs: DataFrame) -> DataFrame:
-    """Of the pairs of every member the one with the nearest sketches."""
-    both = pairs.select(
-        "a", "b", "far", F.explode(F.array("a", "b")).alias("end")
-    )
-    best = both.groupBy("end").agg(F.min_by(F.struct("a", "b"), F.struct("far", "a", "b")).alias("p"))
-    return best.select("p.a", "p.b").distinct()
+    def add(self, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> None:
+        self.row = np.concatenate([self.row, i, j])
+        self.other = np.concatenate([self.other, j, i])
+        self.far = np.concatenate([self.far, far, far])
+
+    def prune(self) -> None:
+        order = np.lexsort((self.other, self.far, self.row))
+        row = self.row[order]
+        begins = np.flatnonzero(np.r_[True, row[1:] != row[:-1]][: len(row)])
+        rank = np.arange(len(row)) - np.repeat(begins, np.diff(np.r_[begins, len(row)]))
+        near = rank < self.most
+        self.more[row[~near]] = True
+        self.row, self.other, self.far = row[near], self.other[order][near], self.far[order][near]
+
+    def take(self, before: int) -> tuple[np.ndarray, ...]:
+        """Remove and return the pairs of the rows below ``before``: row, partner, distance, more."""
+        done = self.row < before
+        taken = self.row[done], self.other[done], self.far[done], self.more[self.row[done]]
+        self.row, self.other, self.far = (c[~done] for c in (self.row, self.other, self.far))
+        return taken
 
 
-def _near_pairs(percent: int):
-    """Pairs of a bucket in different components whose sketches do not rule a link out.
+def _near_pairs(percent: int, most: int):
+    """For every member of a bucket the ``most`` nearest members of other components.
 
-    Sketches are compared with their bins folded first: folding never enlarges a difference.
+    Nearest by sketches, and only those that sketches do not rule out. ``more`` marks pairs of members
+    that have further ones. Sketches are compared with their bins folded first: folding never enlarges
+    a difference.
     """
 
     def possible(far: np.ndarray, total: np.ndarray) -> np.ndarray:
         return far.astype(np.int64) * (100 + percent) <= total * (100 - percent)
 
-    def compare(table: pa.Table, end: np.ndarray) -> pa.RecordBatch:
+    def batch_of(sid: np.ndarray, taken: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        row, other, far, more = taken
+        a, b = np.minimum(sid[row], sid[other]), np.maximum(sid[row], sid[other])
+        order = np.lexsort((~more, b, a))
+        a, b, far, more = a[order], b[order], far[order], more[order]
+        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c[new]) for c in (a, b, far, more)], names=["a", "b", "far", "more"]
+        )
+
+    def compare(table: pa.Table, end: np.ndarray) -> Iterator[pa.RecordBatch]:
         sid, n, part, own, i_block, j_block = (
             table.column(c).to_numpy() for c in ("sid", "n", "component", "_own", "_i", "_j")
         )
@@ -308,7 +338,7 @@ def _near_pairs(percent: int):
         coarse = sketch.reshape(len(sid), COARSE_BINS, -1).sum(axis=2, dtype=np.int16)
         partners = end - np.arange(len(sid)) - 1
         before = np.r_[0, np.cumsum(partners)]
-        found, first = [], 0
+        nearest, first = _Nearest(len(sid), most), 0
         while first < len(sid):
             last = int(np.searchsorted(before, before[first] + PAIRS_AT_ONCE, "right")) - 1
             last = max(first + 1, last)
@@ -322,20 +352,18 @@ def _near_pairs(percent: int):
             apart = np.maximum(sketch[i], sketch[j]) - np.minimum(sketch[i], sketch[j])
             apart, total = apart.sum(axis=1, dtype=np.int64), n[i] + n[j]
             may = possible(apart, total)
-            low, high = np.minimum(sid[i], sid[j])[may], np.maximum(sid[i], sid[j])[may]
-            found.append((low, high, (apart / np.maximum(total, 1))[may]))
+            nearest.add(i[may], j[may], (apart / np.maximum(total, 1))[may])
             first = last
-        a, b, far = (np.concatenate(column) for column in zip(*found, strict=True))
-        order = np.lexsort((b, a))
-        a, b, far = a[order], b[order], far[order]
-        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a[new]), pa.array(b[new]), pa.array(far[new])], names=["a", "b", "far"]
-        )
+            if len(nearest.row) > HELD_PAIRS:
+                nearest.prune()
+                if len(nearest.row) > HELD_PAIRS // 2:  # rows of units that are done
+                    yield batch_of(sid, nearest.take(int(np.searchsorted(end, first, "right"))))
+        nearest.prune()
+        yield batch_of(sid, nearest.take(len(sid)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, end in whole_units(batches, "sig"):
-            yield compare(table, end)
+            yield from compare(table, end)
 
     return run
 
@@ -351,13 +379,12 @@ def _distinct_buckets(mixed: DataFrame) -> DataFrame:
     return materialize(mixed.distinct().join(materialize(kept, "mixed"), "sig"), "members")
 
 
-def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """``a, b, far``: all pairs of a bucket in different components that may be similar, each once."""
-    mixed = _distinct_buckets(mixed)
+def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int, most: int) -> DataFrame:
+    """``a, b, more``: of every member of a bucket the nearest pairs with other components, each once."""
     sketched = mixed.join(full.select("sid", "n", "sketch"), "sid")
-    dealt = block_pairs(materialize(sketched, "members"), "sig", "sid")
-    near = dealt.mapInArrow(_near_pairs(percent), "a long, b long, far double")
-    return materialize(near.groupBy("a", "b").agg(F.min("far").alias("far")), "pairs")
+    dealt = block_pairs(materialize(sketched, "members"), "sig", "sid", BLOCK_ROWS)
+    near = dealt.mapInArrow(_near_pairs(percent, most), "a long, b long, far double, more boolean")
+    return materialize(near.groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
 
 
 def similar_documents(
@@ -403,11 +430,15 @@ def similar_documents(
         ),
         "members",
     )
-    open_pairs = _mixed_pairs(_mixed(mixed, _labels(links)), full, percent)
-    for _ in range(WAVES):
-        links = links.unionByName(_links(_nearest(open_pairs), full, percent))
-        open_pairs = _apart(open_pairs, _labels(links))
-    links = links.unionByName(_links(open_pairs.select("a", "b"), full, percent))
+    tried, most = first, 1
+    while True:
+        mixed = _distinct_buckets(_mixed(mixed, _labels(links)))
+        near = _mixed_pairs(mixed, full, percent, most)
+        fresh = materialize(near.join(tried, ["a", "b"], "left_anti").select("a", "b"), "pairs")
+        links = links.unionByName(_links(fresh, full, percent))
+        if not near.where("more").head(1):
+            break
+        tried, most = tried.unionByName(fresh), most * MORE
 
     labels = _labels(links).withColumnRenamed("vertex", "sid")
     labelled = materialize(
