@@ -16,7 +16,7 @@ Equal sets are one vertex from the start. A bucket links its members to its smal
 the most promising of these pairs are verified with whole sets. Then members of one bucket in different
 components are compared by sketches that bound the difference of two sets from below, in waves: every
 member names its nearest partners in other components, these pairs are verified, components grow, and the
-next wave looks only at buckets that still have several components, for four times as many partners. The
+next wave looks only at members that had further partners, for four times as many. The
 last wave is the one in which no member had further partners to name, so every pair was verified or is
 inside a component. A wave's pairs grow with the members, not with the pairs of a bucket; comparing
 sketches is quadratic, in block pairs, in members that are alike in a sub-partition and not connected.
@@ -301,9 +301,9 @@ class _Nearest:
         self.row, self.other, self.far = row[near], self.other[order][near], self.far[order][near]
 
     def take(self, before: int) -> tuple[np.ndarray, ...]:
-        """Remove and return the pairs of the rows below ``before``: row, partner, distance, more."""
+        """Remove and return the pairs (row, partner) of the rows below ``before``."""
         done = self.row < before
-        taken = self.row[done], self.other[done], self.far[done], self.more[self.row[done]]
+        taken = self.row[done], self.other[done]
         self.row, self.other, self.far = (c[~done] for c in (self.row, self.other, self.far))
         return taken
 
@@ -311,22 +311,23 @@ class _Nearest:
 def _near_pairs(percent: int, most: int):
     """For every member of a bucket the ``most`` nearest members of other components.
 
-    Nearest by sketches, and only those that sketches do not rule out. ``more`` marks pairs of members
-    that have further ones. Sketches are compared with their bins folded first: folding never enlarges
-    a difference.
+    Nearest by sketches, and only those that sketches do not rule out. ``more_a`` and ``more_b`` mark
+    members that have further ones. Sketches are compared with their bins folded first: folding never
+    enlarges a difference.
     """
 
     def possible(far: np.ndarray, total: np.ndarray) -> np.ndarray:
         return far.astype(np.int64) * (100 + percent) <= total * (100 - percent)
 
-    def batch_of(sid: np.ndarray, taken: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        row, other, far, more = taken
-        a, b = np.minimum(sid[row], sid[other]), np.maximum(sid[row], sid[other])
-        order = np.lexsort((~more, b, a))
-        a, b, far, more = a[order], b[order], far[order], more[order]
-        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
+    def batch_of(sid: np.ndarray, nearest: _Nearest, before: int) -> pa.RecordBatch:
+        row, other = nearest.take(before)
+        swap = sid[row] > sid[other]
+        low, high = np.where(swap, other, row), np.where(swap, row, other)
+        columns = sid[low], sid[high], nearest.more[low], nearest.more[high]
+        new = np.unique(np.stack([low, high]), axis=1, return_index=True)[1] if len(row) else []
         return pa.RecordBatch.from_arrays(
-            [pa.array(c[new]) for c in (a, b, far, more)], names=["a", "b", "far", "more"]
+            [pa.array(c[np.asarray(new, np.int64)]) for c in columns],
+            names=["a", "b", "more_a", "more_b"],
         )
 
     def compare(table: pa.Table, end: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -357,9 +358,9 @@ def _near_pairs(percent: int, most: int):
             if len(nearest.row) > HELD_PAIRS:
                 nearest.prune()
                 if len(nearest.row) > HELD_PAIRS // 2:  # rows of units that are done
-                    yield batch_of(sid, nearest.take(int(np.searchsorted(end, first, "right"))))
+                    yield batch_of(sid, nearest, int(np.searchsorted(end, first, "right")))
         nearest.prune()
-        yield batch_of(sid, nearest.take(len(sid)))
+        yield batch_of(sid, nearest, len(sid))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, end in whole_units(batches, "sig"):
@@ -380,11 +381,17 @@ def _distinct_buckets(mixed: DataFrame) -> DataFrame:
 
 
 def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int, most: int) -> DataFrame:
-    """``a, b, more``: of every member of a bucket the nearest pairs with other components, each once."""
+    """``a, b, more_a, more_b``: the nearest pairs of the members of a bucket, each once.
+
+    A pair that is left out is left out by both members, so both are marked by ``more``.
+    """
     sketched = mixed.join(full.select("sid", "n", "sketch"), "sid")
     dealt = block_pairs(materialize(sketched, "members"), "sig", "sid", BLOCK_ROWS)
-    near = dealt.mapInArrow(_near_pairs(percent, most), "a long, b long, far double, more boolean")
-    return materialize(near.groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
+    near = dealt.mapInArrow(
+        _near_pairs(percent, most), "a long, b long, more_a boolean, more_b boolean"
+    )
+    more = [F.max(c).alias(c) for c in ("more_a", "more_b")]
+    return materialize(near.groupBy("a", "b").agg(*more), "pairs")
 
 
 def similar_documents(
@@ -436,8 +443,11 @@ def similar_documents(
         near = _mixed_pairs(mixed, full, percent, most)
         fresh = materialize(near.join(tried, ["a", "b"], "left_anti").select("a", "b"), "pairs")
         links = links.unionByName(_links(fresh, full, percent))
-        if not near.where("more").head(1):
+        marked = [near.where(f"more_{c}").select(F.col(c).alias("sid")) for c in "ab"]
+        waiting = materialize(marked[0].unionByName(marked[1]).distinct(), "waiting")
+        if not waiting.head(1):
             break
+        mixed = mixed.join(waiting, "sid", "left_semi")
         tried, most = tried.unionByName(fresh), most * MORE
 
     labels = _labels(links).withColumnRenamed("vertex", "sid")
