@@ -257,11 +257,18 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (any columns with ``length``) with ``sequence_id`` and ``offset``."""
-    own = [f"`{c}`" for c in pieces.columns if c not in ("sequence_id", "offset", "_id")]
-    numbered = pieces.select(*own, F.monotonically_increasing_id().alias("_id"))
+    """``pieces`` (any columns with ``length``) with ``sequence_id`` and ``offset``, which are replaced.
+
+    Places are found for numbers and lengths alone; the pieces travel once, when they get theirs.
+    """
+    own = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    numbered = pieces.select(
+        F.struct(*[f"`{c}`" for c in own]).alias("inputs"), F.monotonically_increasing_id().alias("id")
+    )
     path = scratch_path(pieces.sparkSession, "pieces")
     numbered.write.option("compression", "zstd").parquet(path)
     named = pieces.sparkSession.read.schema(numbered.schema).parquet(path)
-    places = best_fit(named.select(F.col("_id").alias("id"), "length"), capacity)
-    return named.join(places, named["_id"] == places["id"]).select(*own, "sequence_id", "offset")
+    places = best_fit(named.select("id", F.col("inputs.length").alias("length")), capacity)
+    return named.join(places, "id").select(
+        *[F.col("inputs").getField(c).alias(c) for c in own], "sequence_id", "offset"
+    )

@@ -72,11 +72,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces are packed with their token ids; digests are taken from the packed ones."""
     pieces = packing.token_pieces(read(spark, sf_dir, "documents"), tokenizer_file())
-    digests = pieces.select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    return packing.pack(pieces).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )
-    return packing.pack(digests)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,17 +160,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes and digests travel instead of the texts, as only they are asked for."""
-    text = F.col("text").cast("string").cast("binary")
-    docs = read(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit(b""))).alias("text_crc32"),
-    )
+    """Whole documents are dealt to shards; sizes and digests are taken from the dealt ones."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))
     return sharding.shard_rows(docs).select(
         "doc_id",
-        "size",
-        "text_crc32",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
         F.lit("rows").alias("law"),
         "shard",
         "slot",
