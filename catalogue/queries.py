@@ -598,7 +598,7 @@ def train_model(spark, sf_dir):
 def random_pair_levels(spark, sf_dir):
     comparisons = [exact("birth_year"), exact("gender_code"), similar("last_name", [0.97, 0.92])]
     columns = [c.column for c in comparisons]
-    pairs = random_pairs(X.people(spark, sf_dir), 600, 5, columns)
+    pairs = random_pairs(X.people(spark, sf_dir), None, 5, columns)
     gammas = compare(pairs.withColumn("n_pairs", F.lit(1)), comparisons, ["n_pairs"])
     return count_patterns(gammas, comparisons)
 
@@ -608,7 +608,7 @@ def random_pair_levels(spark, sf_dir):
     with_sql(ALL_RANDOM_PAIRS_SQL, "SELECT * FROM random_levels"),
 )
 def random_pair_levels_of_all(spark, sf_dir):
-    """As ``random_pair_levels``, over all records."""
+    """The same levels; kept beside ``random_pair_levels`` under its own name."""
     comparisons = [exact("birth_year"), exact("gender_code"), similar("last_name", [0.97, 0.92])]
     columns = [c.column for c in comparisons]
     pairs = random_pairs(X.people(spark, sf_dir), None, 5, columns)
