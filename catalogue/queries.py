@@ -413,13 +413,13 @@ pairs AS (
 
 def word_pairs(spark, sf_dir):
     """All pairs of neighbouring words of every text."""
-    pair = lambda i: F.struct(F.col("_w")[i - 1].alias("word_l"), F.col("_w")[i].alias("word_r"))
     words = F.split(F.trim(F.regexp_replace(F.lower("text"), "[^a-z]+", " ")), " ")
+    sides = [F.slice("_w", i, F.size("_w") - 1).alias(c) for i, c in ((1, "word_l"), (2, "word_r"))]
     return (
         X.table(spark, sf_dir, "documents")
         .withColumn("_w", words)
         .where(F.size("_w") >= 2)
-        .select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("_w") - 1), pair)).alias("p"))
+        .select("doc_id", F.explode(F.arrays_zip(*sides)).alias("p"))
         .select("doc_id", "p.word_l", "p.word_r")
     )
 
