@@ -43,13 +43,12 @@ from kinfold.operators.cleaning import apply_cleaning
 from kinfold.operators.comparison import compare, exact, similar
 from kinfold.operators.scoring import predict, score, strict_matches
 from kinfold.operators.training import (
-    count_patterns,
+    block_patterns,
     estimate_prior,
     held_out,
     model_table,
     random_pairs,
     train_u,
-    tuple_pairs,
 )
 from kinfold.operators.mapping import LINKAGE_COLUMNS
 from kinfold.plans import match as M
@@ -571,8 +570,7 @@ def training_patterns(spark, sf_dir):
     profiles = materialize(profiles_of(spark, sf_dir), "profiles")
     rule = SETTINGS.training_rule
     trained = [c for c in SETTINGS.comparisons if c not in held_out(SETTINGS.comparisons, rule)]
-    pairs = tuple_pairs(profiles, rule, trained)
-    return count_patterns(compare(pairs, trained, ["n_pairs"]), trained)
+    return block_patterns(profiles, rule, trained)
 
 
 @query(
@@ -1390,7 +1388,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, out, ledger, state = (
         scratch_path(spark, name) for name in ("landing", "stream", "ledger", "state")
     )
-    raw = X.raw_voters(spark, sf_dir)
+    raw = materialize(X.raw_voters(spark, sf_dir), "raw")  # texts are split once, not per arrival and sort
     schema = raw.schema
     for arriving in (True, True, False):
         if arriving:

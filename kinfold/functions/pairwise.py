@@ -19,6 +19,7 @@ from kinfold.functions.measure import (
 )
 
 CELLS_AT_ONCE = 400_000  # characters of the pairs that are compared together; bounds the memory
+TABLE_AT_ONCE = 100_000  # pairs of different values whose levels are taken together
 _LONG = 48  # from this length on, the positions of the second string are one array operation
 _ROUNDING = 1e-12
 
@@ -147,9 +148,12 @@ def jaro_winkler(left: Words, right: Words, a: np.ndarray, b: np.ndarray) -> np.
 
 
 class Column:
-    """A compared column of a batch: the pairs' levels as ``similarity_level`` or equality gives them."""
+    """A compared column of a batch: the pairs' levels as ``similarity_level`` or equality gives them.
 
-    def __init__(self, values: pa.Array, thresholds: Sequence[float]) -> None:
+    If the levels of all its different values are fewer than ``pairs``, they are taken once.
+    """
+
+    def __init__(self, values: pa.Array, thresholds: Sequence[float], pairs: int = 0) -> None:
         encoded = values.dictionary_encode()
         self.value = encoded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
         self.thresholds = sorted(thresholds)
@@ -164,6 +168,13 @@ class Column:
                 for k in range(PREFIX_LENGTH)
             ]
             self.share = np.array([needed(self.thresholds[0], p) for p in range(PREFIX_LENGTH + 1)])
+        self.table, kinds = None, len(encoded.dictionary) + 1  # a null is the last one, -1
+        if kinds * kinds <= pairs:
+            every = np.r_[np.arange(kinds - 1), -1]
+            step = max(1, TABLE_AT_ONCE // kinds)
+            parts = [every[k : k + step] for k in range(0, kinds, step)]
+            found = [self._between(p.repeat(kinds), np.tile(every, len(p))) for p in parts]
+            self.table = np.concatenate(found).astype(np.int8).reshape(kinds, kinds)
 
     def _may_reach(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """False only if two different strings certainly stay below the lowest threshold."""
@@ -181,6 +192,9 @@ class Column:
 
     def levels(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         a, b = self.value[i], self.value[j]
+        return self._between(a, b) if self.table is None else self.table[a, b]
+
+    def _between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         level = np.where(a == b, len(self.thresholds) + 1, 0)
         level[(a < 0) | (b < 0)] = -1
         if self.thresholds:

@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from kinfold.operators.blocking import CELL_ROWS, Rule, join_block
 from kinfold.operators.comparison import Comparison, add_letter_bits, compare, compared_columns
 from kinfold.operators.identity import number_in_order, sample_exactly
+from kinfold.operators.pattern_counts import pattern_counts
 from kinfold.session import materialize
 
 # Start values of the model for levels that no training has touched.
 START_M_EXACT = 0.95
 START_WEIGHTS = (-5.0, 10.0)
 FLOOR = 1e-10
-TUPLE_CELL_ROWS = 1000  # of a block whose pairs are all compared by character loops
+TUPLE_CELL_ROWS = 1000  # of a block whose pairs are all compared
+MAX_PATTERNS = 100_000  # that a task counts
 
 
 def start_m(levels: int) -> list[float]:
@@ -141,6 +143,53 @@ def count_patterns(gammas: DataFrame, comparisons: Sequence[Comparison]) -> Data
     return gammas.groupBy(*[c.gamma for c in comparisons]).agg(F.sum("n_pairs").alias("n_pairs"))
 
 
+def value_tuples(
+    profiles: DataFrame, rule: Rule, comparisons: Sequence[Comparison], source: str = "county_desc"
+) -> DataFrame:
+    """A row per combination of compared values that has a block: its records, ``_n``, and how many of them
+    each source has, ``_sources`` and ``_counts``."""
+    keys = list(dict.fromkeys([*rule, *compared_columns(comparisons)]))
+    known = profiles.where(F.col(source).isNotNull())
+    for c in rule:
+        known = known.where(F.col(c).isNotNull())
+    # One shuffle for both steps; a profile is a row per source, so no combination is hot.
+    per_source = (
+        known.repartition(*keys)
+        .groupBy(*keys, source)
+        .agg(F.sum("n_records").alias("_n"), F.min("profile_id").alias("_first"))
+    )
+    own = F.collect_list(F.struct(F.col(source).alias("name"), "_n"))
+    tuples = per_source.groupBy(*keys).agg(
+        F.min("_first").alias("profile_id"), F.sum("_n").alias("_n"), own.alias("_own")
+    )
+    return tuples.select(
+        *keys,
+        "profile_id",
+        "_n",
+        F.col("_own.name").alias("_sources"),
+        F.col("_own._n").alias("_counts"),
+    )
+
+
+def block_patterns(
+    profiles: DataFrame,
+    rule: Rule,
+    comparisons: Sequence[Comparison],
+    source: str = "county_desc",
+    cell_rows: int = TUPLE_CELL_ROWS,
+) -> DataFrame:
+    """Record pairs per combination of levels inside the blocks of ``rule``.
+
+    The same as counting ``tuple_pairs``, but no pair becomes a row: tasks compare the cells of a block and
+    give their counts. With too many patterns to hold, pairs are formed after all.
+    """
+    if pattern_bound(comparisons) > MAX_PATTERNS:
+        pairs = tuple_pairs(profiles, rule, comparisons, source, cell_rows)
+        return count_patterns(compare(pairs, comparisons, ["n_pairs"]), comparisons)
+    tuples = materialize(value_tuples(profiles, rule, comparisons, source), "tuples")
+    return count_patterns(pattern_counts(tuples, rule, comparisons, cell_rows), comparisons)
+
+
 def tuple_pairs(
     profiles: DataFrame,
     rule: Rule,
@@ -156,21 +205,9 @@ def tuple_pairs(
     copies nor the number of sources add to the pairs that are formed, and pairs that stand for none
     are not compared.
     """
-    keys = list(dict.fromkeys([*rule, *compared_columns(comparisons)]))
-    known = profiles.where(F.col(source).isNotNull())
-    for c in rule:
-        known = known.where(F.col(c).isNotNull())
-    # One shuffle for both steps; a profile is a row per source, so no combination is hot.
-    per_source = (
-        known.repartition(*keys)
-        .groupBy(*keys, source)
-        .agg(F.sum("n_records").alias("_n"), F.min("profile_id").alias("_first"))
-    )
-    tuples = per_source.groupBy(*keys).agg(
-        F.min("_first").alias("profile_id"),
-        F.sum("_n").alias("_n"),
-        F.map_from_entries(F.collect_list(F.struct(source, "_n"))).alias("_by_source"),
-    )
+    tuples = value_tuples(profiles, rule, comparisons, source)
+    tuples = tuples.withColumn("_by_source", F.map_from_arrays("_sources", "_counts"))
+    tuples = tuples.drop("_sources", "_counts")
     tuples = materialize(add_letter_bits(tuples, comparisons), "tuples")
     within = F.aggregate(
         F.map_entries("_by_source_l"),
@@ -280,8 +317,7 @@ def train_m(
     """Learn m inside one training block; comparisons on the block's own columns keep theirs."""
     skipped = held_out(model.comparisons, rule)
     trained = [c for c in model.comparisons if c not in skipped]
-    pairs = tuple_pairs(profiles, rule, trained, source, min(cell_rows, TUPLE_CELL_ROWS))
-    counts = count_patterns(compare(pairs, trained, ["n_pairs"]), trained)
+    counts = block_patterns(profiles, rule, trained, source, min(cell_rows, TUPLE_CELL_ROWS))
     patterns = _read_patterns(counts, trained)
     fitted, _, _ = fit_m(
         patterns, trained, model, block_prior(model, rule), max_iterations, tolerance
