@@ -77,8 +77,9 @@ def hot_blocks(rows: DataFrame, rule: Rule, cell_rows: int) -> DataFrame | None:
     return hot  # too many to broadcast: joined like any other table
 
 
-def block_tasks(rows: DataFrame, rule: Rule, task_pairs: int = TASK_PAIRS) -> int:
+def block_tasks(rows: DataFrame, rule: Rule, task_pairs: int | None = None) -> int:
     """How many tasks the pairs of all blocks are worth, from the block sizes; 0 if one is enough."""
+    task_pairs = task_pairs or TASK_PAIRS
     sizes = rows.groupBy(*rule).agg(F.count("*").cast("double").alias("_rows"))
     pairs = sizes.agg(F.sum(F.col("_rows") * F.col("_rows"))).first()[0] or 0.0
     if pairs <= task_pairs:
