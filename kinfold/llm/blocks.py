@@ -23,16 +23,26 @@ def block_pairs(rows: DataFrame, group: str, row_id: str, block_rows: int = BLOC
     sizes = rows.groupBy(group).agg(F.count("*").alias("_n")).where("_n > 1")
     sizes = sizes.select(group, F.ceil(F.col("_n") / block_rows).cast("int").alias("_blocks"))
     sized = rows.join(materialize(sizes, "sizes"), group)
+    return dealt_cells(block_cells(sized, row_id), group)
+
+
+def block_cells(sized: DataFrame, row_id: str) -> DataFrame:
+    """Rows whose group has ``_blocks`` blocks, once per block pair ``_i, _j`` of their block ``_own``."""
+    columns = [c for c in sized.columns if c != "_blocks"]
     own = sized.withColumn("_own", F.pmod(F.xxhash64(row_id, F.lit(7)), "_blocks").cast("int"))
     other = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    keys = [group, "_i", "_j"]
-    paired = other.select(
-        *rows.columns,
+    return other.select(
+        *columns,
         "_own",
         F.least("_own", "_other").alias("_i"),
         F.greatest("_own", "_other").alias("_j"),
     )
-    return paired.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def dealt_cells(cells: DataFrame, group: str) -> DataFrame:
+    """Block pairs dealt to tasks, sorted for ``units``."""
+    keys = [group, "_i", "_j"]
+    return cells.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def whole_units(

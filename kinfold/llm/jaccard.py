@@ -12,12 +12,16 @@ have that property, and a set with at most t incomplete partitions agrees in one
 So a set signs with some t and leaves empty ones out; in the rare case that it has more than t
 incomplete partitions it signs with a larger t as well, and if that fails, once with the empty ones.
 
+Similar sets share more signatures than one: as many as complete partitions are left to agree. So each
+set leaves one bucket less than that number, the largest first; sets that are alike in a few common
+places only are in no bucket after that.
+
 Equal sets are one vertex from the start. A bucket links its members to its smallest one first, and
-the most promising of these pairs are verified with whole sets. Then members of one bucket in different
+the most promising of these pairs are verified. Then members of one bucket in different
 components are compared by sketches that bound the difference of two sets from below, in waves: every
 member names its nearest partners in other components, these pairs are verified, components grow, and the
-next wave looks only at members that had further partners, for four times as many. The
-last wave is the one in which no member had further partners to name, so every pair was verified or is
+next wave looks only at members that had further partners, for sixteen times as many. Whole sets are made
+and moved only for pairs that sketches do not rule out. The last wave is the one in which no member had further partners to name, so every pair was verified or is
 inside a component. A wave's pairs grow with the members, not with the pairs of a bucket; comparing
 sketches is quadratic, in block pairs, in members that are alike in a sub-partition and not connected.
 
@@ -32,11 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm import words as wd
-from kinfold.llm.blocks import block_pairs, whole_units
+from kinfold.llm.blocks import block_cells, dealt_cells, whole_units
 from kinfold.llm.tables import bucketed, documents
 from kinfold.operators.clusters import connected_components
 from kinfold.session import materialize
@@ -48,7 +52,10 @@ COARSE_BINS = 32  # of a folded sketch
 PAIRS_AT_ONCE = 20_000  # compared with array operations; bounds the memory, not the result
 HELD_PAIRS = 200_000  # of a task, before those that are not among the nearest go
 BLOCK_ROWS = 1000  # of a large bucket, compared with another block
-MORE = 4  # times as many partners in each wave as in the one before
+LARGE = 10_000  # members of a bucket that are counted
+SKETCH_ROWS = 2000  # counted with array operations; bounds the memory, not the result
+CELLS = 1 << 16  # of 64 bits each, that tell which texts may be looked at as whole sets
+MORE = 16  # times as many partners in each wave as in the one before
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 _RATIO = 1.6  # of the largest to the smallest size of a band, at least
 
@@ -118,6 +125,20 @@ def _set_ids(row: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray,
     return size, wd.mix(sums[after] - sums[first] + size.astype(np.uint64)).view(np.int64)
 
 
+def _sketches(row: np.ndarray, value: np.ndarray, rows: int) -> pa.Array:
+    """Counters of the elements' hashes, ``BINS`` bytes a row."""
+    bins = (wd.mix(value + np.uint64(5)) % np.uint64(BINS)).astype(np.int64)
+    sketch = np.empty((rows, BINS), np.uint8)
+    for a in range(0, rows, SKETCH_ROWS):
+        n = min(SKETCH_ROWS, rows - a)
+        first, after = np.searchsorted(row, [a, a + n])
+        at = (row[first:after] - a) * BINS + bins[first:after]
+        counts = np.bincount(at, minlength=n * BINS).reshape(n, BINS)
+        sketch[a : a + n] = np.minimum(counts, 255)
+    every = pa.py_buffer((np.arange(rows + 1) * BINS).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), rows, [None, every, pa.py_buffer(sketch)])
+
+
 def _sets(length: int, with_shingles: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -128,16 +149,10 @@ def _sets(length: int, with_shingles: bool):
                 if with_shingles:
                     at = (np.r_[0, np.cumsum(size)] * 8).astype(np.int32)
                     buffers = [None, pa.py_buffer(at), pa.py_buffer(value)]
-                    bins = (wd.mix(value + np.uint64(5)) % np.uint64(BINS)).astype(np.int64)
-                    counts = np.bincount(row * BINS + bins, minlength=len(size) * BINS)
-                    sketch = np.minimum(counts, 255).astype(np.uint8)
-                    every = pa.py_buffer((np.arange(len(size) + 1) * BINS).astype(np.int32))
-                    arrays["sketch"] = pa.Array.from_buffers(
-                        pa.binary(), len(size), [None, every, pa.py_buffer(sketch)]
-                    )
                     arrays["shingles"] = pa.Array.from_buffers(pa.binary(), len(size), buffers)
                 else:
                     arrays |= {c: batch.column(c) for c in ("doc_id", "row")}
+                    arrays["sketch"] = _sketches(row, value, batch.num_rows)
                 yield pa.RecordBatch.from_pydict(arrays)
 
     return run
@@ -166,30 +181,47 @@ def signatures(
     row: np.ndarray, value: np.ndarray, rows: int, percent: int = PERCENT
 ) -> tuple[np.ndarray, np.ndarray]:
     """(row, signature) of sets given as sorted distinct (row, element)."""
+    return _signed(row, value, rows, percent)[:2]
+
+
+def _signed(
+    row: np.ndarray, value: np.ndarray, rows: int, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature, least number of signatures shared with a similar set; negative in the next band).
+
+    Of the partitions, 1 + slack differ in one element at most, and so agree in a sub-partition each. That
+    one has elements unless the partition is incomplete. Sets that sign with several slacks share one at least.
+    """
     bands = _Bands(percent)
     first, after = wd.row_spans(row, rows)
     size = after - first
     own = bands.of(size)
-    out_row, out = [], []
-    for band, signs in ((own, size > 0), (own + 1, bands.reaches_next(size, own) & (size > 0))):
+    out_row, out, out_need = [], [], []
+    reaching = bands.reaches_next(size, own) & (size > 0)
+    for side, band, signs in ((1, own, size > 0), (-1, own + 1, reaching)):
         k = bands.differences(band)
         base = np.where(signs & (k > 0), k // 2 + 1, 0)  # k = 0: only equal sets are similar
         more = 2 + base // 4
+        need = np.ones(rows, np.int64)
         for salt, slack in ((1, more), (2, 4 * more), (3, None)):
             parts = base if slack is None else base + slack
             parts = np.where(base > 0, parts, 0)
             owner, sign, empty = _sign(row, value, rows, band, parts, salt)
             keep = np.ones(len(sign), bool) if slack is None else ~empty
+            if slack is not None:
+                incomplete = empty.reshape(-1, 2).any(axis=1)
+                lacking = np.bincount(owner[::2], incomplete, rows).astype(np.int64)
+                if salt == 1:
+                    need = np.maximum(1 + slack - lacking, 1)
             out_row.append(owner[keep])
             out.append(sign[keep])
+            out_need.append(side * need[owner[keep]])
             if slack is None:
                 break
-            incomplete = empty.reshape(-1, 2).any(axis=1)
-            lacking = np.bincount(owner[::2], incomplete, rows)
             base = np.where(lacking > slack, base, 0)
             if not base.any():
                 break
-    return np.concatenate(out_row), np.concatenate(out)
+    return np.concatenate(out_row), np.concatenate(out), np.concatenate(out_need)
 
 
 def _signatures(length: int, percent: int):
@@ -205,31 +237,62 @@ def _signatures(length: int, percent: int):
                         signed.add(sid)
                         fresh[r] = True
                 chosen = fresh[row]
-                row, sign = signatures(row[chosen], value[chosen], batch.num_rows, percent)
+                row, sign, need = _signed(row[chosen], value[chosen], batch.num_rows, percent)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sign.view(np.int64)), pa.array(ids[row])], names=["sig", "sid"]
+                    [pa.array(sign.view(np.int64)), pa.array(ids[row]), pa.array(need, pa.int32())],
+                    names=["sig", "sid", "need"],
                 )
 
     return run
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Link the members of each bucket, streamed in order, to its smallest one."""
-    last = None  # signature, smallest and latest member of the bucket that is open
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct members of buckets of two and more, streamed in order, with the bucket's size.
+
+    Sizes are counted up to ``LARGE``; no more rows than that wait for the end of their bucket.
+    """
+    held = np.zeros((3, 0), np.int64)  # of the bucket that is open
+    gone = False  # whether what is held has been passed on and is only there to be compared
+
+    def passed(rows: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        keep = size > 1
+        arrays = [pa.array(c[keep]) for c in (*rows, size)]
+        return pa.RecordBatch.from_arrays(arrays, names=["sig", "sid", "need", "size"])
+
     for batch in batches:
-        if not batch.num_rows:
+        new = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+        rows = np.concatenate([held, np.stack(new)], axis=1)
+        if not rows.shape[1]:
             continue
-        sig, sid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        new = np.r_[last is None or sig[0] != last[0], sig[1:] != sig[:-1]]
-        begins = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-        center = np.where(begins >= 0, sid[begins], 0 if last is None else last[1])
-        member = (sid != center) & ~new
-        member &= np.r_[new[0] or last is None or sid[0] != last[2], sid[1:] != sid[:-1]] | new
-        last = (sig[-1], center[-1], sid[-1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(sig[member]), pa.array(sid[member]), pa.array(center[member])],
-            names=["sig", "sid", "center"],
-        )
+        differs = (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)
+        rows = rows[:, np.r_[True, differs]]
+        starts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
+        count = np.diff(np.r_[starts, rows.shape[1]])
+        size = np.minimum(count, LARGE)
+        size[0] = LARGE if gone else size[0]
+        size, last = np.repeat(size, count), int(starts[-1])
+        skip = int(gone)
+        if size[-1] >= LARGE:
+            yield passed(rows[:, skip:], size[skip:])
+            held, gone = rows[:, -1:], True
+        else:
+            if last:
+                yield passed(rows[:, skip:last], size[skip:last])
+            held, gone = rows[:, last:], False
+    if not gone and held.shape[1] > 1:
+        yield passed(held, np.full(held.shape[1], held.shape[1]))
+
+
+def _telling(members: DataFrame) -> DataFrame:
+    """``sig, sid`` without the signatures that no link needs.
+
+    Similar sets share ``need`` signatures at least. So of each set, ``need - 1`` may go, if those of the
+    largest buckets go first, in the same order for all sets: the first one that two sets share stays.
+    A set with fewer signatures in buckets than it needs is in none any more.
+    """
+    by_size = Window.partitionBy("sid", "need").orderBy(F.desc("size"), "sig")
+    ranked = members.withColumn("place", F.row_number().over(by_size))
+    return ranked.where("place >= abs(need)").select("sig", "sid")
 
 
 def _verify(percent: int):
@@ -248,16 +311,65 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a, b``) that are similar enough, by their whole sets."""
+def _possible(percent: int):
+    """Pairs whose sketches do not rule them out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
+                for c in (4, 5)
+            )
+            apart = (np.maximum(left, right) - np.minimum(left, right)).sum(axis=1, dtype=np.int64)
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            may = apart * (100 + percent) <= total * (100 - percent)
+            yield batch.select([0, 1]).filter(pa.array(may))
+
+    return run
+
+
+def _sides(pairs: DataFrame, sets: DataFrame, column: str, percent: int) -> DataFrame:
+    """Pairs (``a, b``) with sizes that allow a link, and a column of both their sets."""
     sides = [
-        full.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("shingles").alias(f"s_{c}"))
+        sets.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col(column).alias(f"s_{c}"))
         for c in "ab"
     ]
     possible = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    joined = pairs.join(sides[0], "a").join(sides[1], "b").where(possible)
-    found = joined.select("a", "b", "s_a", "s_b").mapInArrow(_verify(percent), "a long, b long")
-    return materialize(found, "links")
+    joined = pairs.join(sides[1], "b").join(sides[0], "a").where(possible)
+    return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b")
+
+
+def _whole_sets(texts: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """``n, sid, shingles`` of the sets in ``pairs``, each from one of its texts.
+
+    A table of bits, of bounded size, tells which texts are surely not among them, so that these are
+    not moved; the others are joined.
+    """
+    one = F.coalesce("doc_id", F.lit(_NO_ID)).alias("one")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    least = F.min(F.struct("row", one)).alias("least")
+    chosen = sets.select("sid", "row", "doc_id").join(wanted, "sid").groupBy("sid").agg(least)
+    chosen = materialize(chosen.select("least.*"), "wanted")
+    cell, bit = F.pmod("row", F.lit(CELLS)).alias("_cell"), F.expr("pmod(shiftright(row, 32), 64)")
+    ones = F.expr("bit_or(shiftleft(1L, cast(pmod(shiftright(row, 32), 64) AS int)))").alias("_bits")
+    cells = chosen.groupBy(cell).agg(ones)
+    named = texts.where("text IS NOT NULL").select("text", "row", one, cell, bit.cast("int").alias("_bit"))
+    near = named.join(F.broadcast(cells), "_cell").where("getbit(_bits, _bit) = 1")
+    found = near.select("text", "row", "one").join(chosen, ["row", "one"]).select("text")
+    schema = "n long, sid long, shingles binary"
+    return materialize(found.mapInArrow(_sets(shingle, True), schema), "full")
+
+
+def _links(
+    pairs: DataFrame, texts: DataFrame, sets: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """The pairs (``a, b``) that are similar enough, by their whole sets.
+
+    Repeated rows give a set twice, which changes no link.
+    """
+    full = _whole_sets(texts, sets, pairs, shingle)
+    joined = _sides(pairs, full, "shingles", percent).select("a", "b", "s_a", "s_b")
+    return materialize(joined.mapInArrow(_verify(percent), "a long, b long"), "links")
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -265,17 +377,24 @@ def _labels(links: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``sig, sid, component`` of the buckets whose members are not in one component yet."""
+    """``sig, sid, component, size`` of the buckets whose members are not in one component yet.
+
+    One of the buckets that have the same members: they bring the same pairs together.
+    """
     labelled = members.select("sig", "sid").join(
         labels.withColumnRenamed("vertex", "sid"), "sid", "left"
     )
     labelled = labelled.select("sig", "sid", F.coalesce("component", "sid").alias("component"))
     labelled = materialize(labelled, "members")
-    parts = labelled.groupBy("sig").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_buckets = materialize(parts.where("low != high").select("sig"), "mixed")
-    return materialize(labelled.join(open_buckets, "sig"), "members")
+    shape = [
+        *(F.bit_xor(F.xxhash64("sid", F.lit(i))).alias(f"x{i}") for i in (0, 1)),
+        F.count("*").alias("size"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    ]
+    shapes = labelled.groupBy("sig").agg(*shape).where("low != high")
+    kept = shapes.groupBy("x0", "x1", "size").agg(F.min("sig").alias("sig")).select("sig", "size")
+    return materialize(labelled.join(materialize(kept, "mixed"), "sig"), "members")
 
 
 class _Nearest:
@@ -369,24 +488,14 @@ def _near_pairs(percent: int, most: int):
     return run
 
 
-def _distinct_buckets(mixed: DataFrame) -> DataFrame:
-    """One of the buckets that have the same members: they bring the same pairs together."""
-    shape = [
-        *(F.bit_xor(F.xxhash64("sid", F.lit(i))).alias(f"x{i}") for i in (0, 1)),
-        F.count("*").alias("size"),
-    ]
-    shapes = mixed.distinct().groupBy("sig").agg(*shape)
-    kept = shapes.groupBy("x0", "x1", "size").agg(F.min("sig").alias("sig")).select("sig")
-    return materialize(mixed.distinct().join(materialize(kept, "mixed"), "sig"), "members")
-
-
-def _mixed_pairs(mixed: DataFrame, full: DataFrame, percent: int, most: int) -> DataFrame:
+def _mixed_pairs(mixed: DataFrame, sketches: DataFrame, percent: int, most: int) -> DataFrame:
     """``a, b, more_a, more_b``: the nearest pairs of the members of a bucket, each once.
 
     A pair that is left out is left out by both members, so both are marked by ``more``.
     """
-    sketched = mixed.join(full.select("sid", "n", "sketch"), "sid")
-    dealt = block_pairs(materialize(sketched, "members"), "sig", "sid", BLOCK_ROWS)
+    blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
+    cells = block_cells(mixed.withColumn("_blocks", blocks).drop("size"), "sid")
+    dealt = dealt_cells(cells.join(sketches, "sid"), "sig")
     near = dealt.mapInArrow(
         _near_pairs(percent, most), "a long, b long, more_a boolean, more_b boolean"
     )
@@ -405,44 +514,37 @@ def similar_documents(
     components apart where ids do not, and is null for texts without words.
     """
     texts = documents(docs)
-    sets = materialize(
-        texts.mapInArrow(_sets(shingle, False), "n long, sid long, doc_id long, row long"), "sets"
-    )
-    some = texts.where("text IS NOT NULL")
-    signs = some.select("text").mapInArrow(_signatures(shingle, percent), "sig long, sid long")
-    stars = signs.repartition("sig").sortWithinPartitions("sig", "sid")
-    buckets = materialize(stars.mapInArrow(_stars, "sig long, sid long, center long"), "buckets")
-
-    ends = F.explode(F.array("sid", "center")).alias("sid")
-    wanted = materialize(buckets.select(ends).distinct(), "wanted")
-    examples = sets.join(wanted, "sid").groupBy("sid").agg(F.min_by("row", "row").alias("row"))
-    one = F.coalesce(F.min("doc_id"), F.lit(_NO_ID)).alias("one")
-    chosen = materialize(sets.join(examples, ["sid", "row"]).groupBy("row").agg(one), "wanted")
-    named = some.withColumn("one", F.coalesce("doc_id", F.lit(_NO_ID)))
-    members = named.join(chosen, ["row", "one"]).select("text")
-    found = members.mapInArrow(
-        _sets(shingle, True), "n long, sid long, sketch binary, shingles binary"
-    )
-    full = bucketed(found, "sid")  # repeated rows give a set twice, which changes no link
-
-    shared = F.count("*").alias("shared")
-    pairs = buckets.groupBy(F.col("center").alias("a"), F.col("sid").alias("b")).agg(shared)
-    pairs = materialize(pairs, "pairs")
-    first = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-    first = materialize(first.select("a", "b"), "pairs")
-    links = _links(first, full, percent)
-    mixed = materialize(
-        buckets.select("sig", "sid").unionByName(
-            buckets.select("sig", F.col("center").alias("sid")).distinct()
-        ),
-        "members",
+    schema = "n long, sid long, doc_id long, row long, sketch binary"
+    sets = materialize(texts.mapInArrow(_sets(shingle, False), schema), "sets")
+    signs = texts.where("text IS NOT NULL").select("text").mapInArrow(
+        _signatures(shingle, percent), "sig long, sid long, need int"
     )
-    tried, most = first, 1
+    ordered = signs.repartition("sig").sortWithinPartitions("sig", "sid")
+    members = ordered.mapInArrow(_buckets, "sig long, sid long, need long, size long")
+    members = materialize(_telling(materialize(members, "buckets")), "members")
+
+    centers = members.groupBy("sig").agg(F.min("sid").alias("a"), F.max("sid").alias("high"))
+    centers = materialize(centers.where("a != high").select("sig", "a"), "centers")
+    members = materialize(members.join(centers, "sig"), "members")
+    wanted = members.select("sid").distinct()
+    one = [F.first(c).alias(c) for c in ("n", "sketch")]
+    sketches = bucketed(sets.join(wanted, "sid").groupBy("sid").agg(*one), "sid")
+
+    others = members.where("sid != a").groupBy(F.col("sid").alias("b"))
+    first = others.agg(F.mode("a", True).alias("a"))  # the center it meets in most buckets
+    first = _sides(first, sketches, "sketch", percent).mapInArrow(_possible(percent), "a long, b long")
+    first = materialize(first, "pairs")
+    labels = _labels(_links(first, texts, sets, shingle, percent))
+    mixed, tried, most = members, first, 1
     while True:
-        mixed = _distinct_buckets(_mixed(mixed, _labels(links)))
-        near = _mixed_pairs(mixed, full, percent, most)
+        mixed = _mixed(mixed, labels)
+        near = _mixed_pairs(mixed, sketches, percent, most)
         fresh = materialize(near.join(tried, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-        links = links.unionByName(_links(fresh, full, percent))
+        if fresh.head(1):
+            links = _links(fresh, texts, sets, shingle, percent)
+            if links.head(1):
+                grown = labels.select(F.col("component").alias("a"), F.col("vertex").alias("b"))
+                labels = _labels(grown.unionByName(links))
         marked = [near.where(f"more_{c}").select(F.col(c).alias("sid")) for c in "ab"]
         waiting = materialize(marked[0].unionByName(marked[1]).distinct(), "waiting")
         if not waiting.head(1):
@@ -450,9 +552,10 @@ def similar_documents(
         mixed = mixed.join(waiting, "sid", "left_semi")
         tried, most = tried.unionByName(fresh), most * MORE
 
-    labels = _labels(links).withColumnRenamed("vertex", "sid")
+    labels = labels.withColumnRenamed("vertex", "sid")
     labelled = materialize(
-        sets.where("n > 0")
+        sets.drop("sketch")
+        .where("n > 0")
         .join(labels, "sid", "left")
         .withColumn("component", F.coalesce("component", "sid")),
         "labelled",
