@@ -52,6 +52,7 @@ COARSE_BINS = 32  # of a folded sketch
 PAIRS_AT_ONCE = 20_000  # compared with array operations; bounds the memory, not the result
 HELD_PAIRS = 200_000  # of a task, before those that are not among the nearest go
 BLOCK_ROWS = 1000  # of a large bucket, compared with another block
+SLICE_BYTES = 1 << 20  # of texts handled together; bounds the memory, not the result
 LARGE = 10_000  # members of a bucket that are counted
 SKETCH_ROWS = 2000  # counted with array operations; bounds the memory, not the result
 CELLS = 1 << 16  # of 64 bits each, that tell which texts may be looked at as whole sets
@@ -142,7 +143,7 @@ def _sketches(row: np.ndarray, value: np.ndarray, rows: int) -> pa.Array:
 def _sets(length: int, with_shingles: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in wd.slices(whole, "text"):
+            for batch in wd.slices(whole, "text", SLICE_BYTES):
                 row, value = shingles(batch, length)
                 size, ids = _set_ids(row, value, batch.num_rows)
                 arrays = {"n": pa.array(size, pa.int64()), "sid": pa.array(ids)}
@@ -228,7 +229,7 @@ def _signatures(length: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signed: set[int] = set()  # a task signs equal sets once; bounded by its rows
         for whole in batches:
-            for batch in wd.slices(whole, "text"):
+            for batch in wd.slices(whole, "text", SLICE_BYTES):
                 row, value = shingles(batch, length)
                 _, ids = _set_ids(row, value, batch.num_rows)
                 fresh = np.zeros(batch.num_rows, bool)
