@@ -44,6 +44,7 @@ from kinfold.operators.comparison import compare, exact, similar
 from kinfold.operators.scoring import predict, score, strict_matches
 from kinfold.operators.training import (
     block_patterns,
+    count_patterns,
     estimate_prior,
     held_out,
     model_table,
