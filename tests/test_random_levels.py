@@ -6,7 +6,7 @@ from __spark_entry__ import oracle_sql, queries
 from tests.oracle import compare, connect
 
 
-@pytest.mark.parametrize("name", ["random_pair_levels"])
+@pytest.mark.parametrize("name", ["random_pair_levels", "random_pair_levels_of_all"])
 def test_random_levels_equal_sql(spark, tmp_path, name):
     words = ["anna", "berta", "bertha", "carl", "karl"]
     rows = [
