@@ -14,7 +14,7 @@ Two things keep blocks from exploding, and both are exact:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,9 +52,9 @@ def _known(rule: Rule, suffix: str = "") -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{c}{suffix}").isNotNull() for c in rule])
 
 
-def _agrees(rule: Rule) -> Column:
-    """True if the pair satisfies the rule, false (never null) otherwise."""
-    same = [F.col(f"{c}_l") == F.col(f"{c}_r") for c in rule]
+def _agrees(rule: Rule, known: Rule = ()) -> Column:
+    """True if the pair satisfies the rule, false (never null) otherwise; it agrees on ``known`` anyway."""
+    same = [F.col(f"{c}_l") == F.col(f"{c}_r") for c in rule if c not in known]
     return F.coalesce(reduce(lambda a, b: a & b, same), F.lit(False))
 
 
@@ -134,33 +134,42 @@ def widest_rules(rules: Sequence[Rule]) -> list[Rule]:
     ]
 
 
+def first_rule(rules: Sequence[Rule], wide: Sequence[Rule], i: int) -> Column:
+    """Position of the first rule that fires, for pairs of ``wide[i]`` that no earlier one of ``wide`` found.
+
+    Only what can still fire is compared: not the columns of ``wide[i]``, nor narrower forms of an earlier one.
+    """
+    at = list(rules).index(wide[i])
+    key = F.lit(at)
+    for k in reversed(range(at)):
+        if not any(set(earlier) <= set(rules[k]) for earlier in wide[:i]):
+            key = F.when(_agrees(rules[k], wide[i]), F.lit(k)).otherwise(key)
+    return key
+
+
 def candidate_pairs(
     profiles: DataFrame,
     rules: Sequence[Rule],
     source: str = "county_desc",
     cell_rows: int = CELL_ROWS,
+    pairs_of: Callable[[DataFrame, Rule, str, int], DataFrame] = join_block,
 ) -> DataFrame:
     """All profile pairs of different sources that satisfy a rule, each pair once.
 
     ``match_key`` is the position of the first rule that fires. ``n_pairs`` is the number of
     record pairs the profile pair stands for. A rule that only narrows another one adds no pairs,
     so it costs no join; the remaining joins exclude what an earlier one already found, which
-    needs no de-duplicating shuffle.
+    needs no de-duplicating shuffle. ``pairs_of`` may add columns to the pairs of a block.
     """
     wide = widest_rules(rules)
     found = []
     for i, rule in enumerate(wide):
-        pairs = join_block(profiles, rule, source, cell_rows)
+        pairs = pairs_of(profiles, rule, source, cell_rows)
         for earlier in wide[:i]:
-            pairs = pairs.where(~_agrees(earlier))
-        found.append(pairs)
+            pairs = pairs.where(~_agrees(earlier, rule))
+        found.append(pairs.withColumn("match_key", first_rule(rules, wide, i)))
     pairs = reduce(lambda a, b: a.unionByName(b), found)
-    key = F.lit(None).cast("int")
-    for i, rule in reversed(list(enumerate(rules))):
-        key = F.when(_agrees(rule), F.lit(i)).otherwise(key)
-    return pairs.withColumn("match_key", key).withColumn(
-        "n_pairs", F.col("n_records_l") * F.col("n_records_r")
-    )
+    return pairs.withColumn("n_pairs", F.col("n_records_l") * F.col("n_records_r"))
 
 
 def expand_pairs(

@@ -34,7 +34,15 @@ class Comparison:
     def bits(self) -> str:
         return f"_bits_{self.column}"
 
+    @property
+    def known(self) -> str:
+        """Name of the level where it was taken together with the pairs."""
+        cuts = "".join(f"_{t!r}".replace(".", "p") for t in self.thresholds)
+        return f"_known_{self.gamma}_of_{self.column}{cuts}"
+
     def level(self, pairs: DataFrame) -> Column:
+        if self.known in pairs.columns:
+            return F.col(self.known)
         left, right = f"{self.column}_l", f"{self.column}_r"
         if self.thresholds:
             bits = (f"{self.bits}_l", f"{self.bits}_r")
@@ -73,11 +81,14 @@ def compare(
     they are kept on purpose. The levels are produced as one inlined struct: a filter on them, such
     as a score threshold, is then not pushed below and does not compute them a second time, while
     filters on the kept columns still reach the join. They are computed by a projection below it, which
-    Spark compiles; inside the generator they would be interpreted.
+    Spark compiles; inside the generator they would be interpreted. Levels that came with the pairs are
+    taken as they are.
     """
     names = [c.gamma for c in comparisons]
     if len(set(names)) != len(names):
         raise ValueError(f"two comparisons share a name: {names}")
+    if all(c.known in pairs.columns for c in comparisons):
+        return pairs.select(*keep, *[F.col(c.known).alias(c.gamma) for c in comparisons])
     found = pairs.select(*keep, *[c.level(pairs).alias(f"_{c.gamma}") for c in comparisons])
     levels = F.struct(*[F.col(f"_{c.gamma}").alias(c.gamma) for c in comparisons])
     return found.select(*keep, F.inline(F.array(levels)))

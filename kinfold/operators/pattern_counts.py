@@ -25,7 +25,7 @@ TASK_PAIRS = 8_000_000  # of a task, about
 _PART = (1 << 20) - 1  # sums of so many bits of 100,000 numbers are exact in a double
 
 
-def cells_of(tuples: DataFrame, rule: Rule, cell_rows: int) -> DataFrame:
+def cells_of(tuples: DataFrame, rule: Rule, cell_rows: int, task_pairs: int | None = None) -> DataFrame:
     """``tuples`` once per cell they are in, with the cell (``_row`` <= ``_col``) and their part, in order.
 
     A pair of one part is in the cell of that part alone, a pair of two parts in the cell of both.
@@ -49,7 +49,7 @@ def cells_of(tuples: DataFrame, rule: Rule, cell_rows: int) -> DataFrame:
             F.greatest("_part", "_other").alias("_col"),
         )
     unit = [*keys, "_row", "_col"]
-    if tasks := block_tasks(tuples, rule, TASK_PAIRS):
+    if tasks := block_tasks(tuples, rule, task_pairs or TASK_PAIRS):
         cells = cells.repartition(tasks, *unit)
     else:
         cells = cells.repartition(*unit)

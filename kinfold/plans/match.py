@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +27,12 @@ from kinfold.operators.clusters import (
 )
 from kinfold.operators.comparison import (
     Comparison,
-    add_letter_bits,
     compare,
     compared_columns,
     exact,
     similar,
 )
+from kinfold.operators.compared_pairs import compared_block
 from kinfold.operators.entities import (
     can_enumerate,
     fold_groups,
@@ -126,8 +126,7 @@ def profile_columns(settings: MatchSettings) -> list[str]:
 
 
 def build_profiles(people: DataFrame, settings: MatchSettings) -> DataFrame:
-    folded = fold_profiles(people, profile_columns(settings), settings.source, settings.id_col)
-    return add_letter_bits(folded, settings.comparisons)
+    return fold_profiles(people, profile_columns(settings), settings.source, settings.id_col)
 
 
 def fit_model(profiles: DataFrame, people: DataFrame, settings: MatchSettings) -> Model:
@@ -150,8 +149,11 @@ def fit_model(profiles: DataFrame, people: DataFrame, settings: MatchSettings) -
 
 
 def compare_candidates(profiles: DataFrame, settings: MatchSettings) -> DataFrame:
-    """Blocked profile pairs with their levels."""
-    pairs = candidate_pairs(profiles, settings.rules, settings.source, settings.cell_rows)
+    """Blocked profile pairs with their levels, which are taken where the pairs are formed."""
+    pairs_of = partial(compared_block, comparisons=settings.comparisons)
+    pairs = candidate_pairs(
+        profiles, settings.rules, settings.source, settings.cell_rows, pairs_of
+    )
     keep = ["profile_id_l", "profile_id_r", "match_key", "n_pairs"]
     for c in (settings.source, *settings.equal):
         keep += [f"{c}_l", f"{c}_r"]
