@@ -7,7 +7,8 @@ Two things keep blocks from exploding, and both are exact:
   becomes one profile per source, and Spark folds most of it before the shuffle.
 * A block with more profiles than ``cell_rows`` is split into cells (Kolb, Thor & Rahm 2012): the
   left side is cut in k parts, the right side in k parts, and every task joins one part with one
-  part. No pair is lost and no task holds the whole block. The number of tasks follows the pairs to be
+  part. No pair is lost and no task holds the whole block. Rows are copied once per part, so small cells are
+  only made while the copies stay few; the cells of larger blocks have more rows, up to ``CELL_ROWS``. The number of tasks follows the pairs to be
   looked at; by the bytes of the profiles, which adaptive execution goes by, a few tasks would get all.
 """
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 CELL_ROWS = 1_000
 MAX_HOT_BLOCKS = 10_000
+FEW_COPIES = 8  # of a row, which cells of fewer than CELL_ROWS rows may cost
 TASK_PAIRS = 1_000_000  # looked at by a task of a block join, about
 MAX_TASKS = 20_000  # of a block join; tasks grow beyond
 
@@ -61,13 +63,17 @@ def _agrees(rule: Rule, known: Rule = ()) -> Column:
 def hot_blocks(rows: DataFrame, rule: Rule, cell_rows: int) -> DataFrame | None:
     """Blocks with more than ``cell_rows`` rows and the number of parts to cut them in.
 
-    None if there are none. They are broadcast only if they are few.
+    None if there are none. They are broadcast only if they are few. Parts have ``cell_rows`` rows, or more
+    where the block would otherwise be copied more than ``FEW_COPIES`` times, but never more than both
+    ``cell_rows`` and ``CELL_ROWS``: copies grow with the block over ``cell_rows`` otherwise.
     """
+    wanted = F.ceil(F.col("_rows") / cell_rows)
+    needed = F.greatest(F.lit(FEW_COPIES), F.ceil(F.col("_rows") / CELL_ROWS))
     hot = (
         rows.groupBy(*rule)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > cell_rows)
-        .select(*rule, F.ceil(F.col("_rows") / cell_rows).cast("int").alias("_parts"))
+        .select(*rule, F.least(wanted, needed).cast("int").alias("_parts"))
     )
     few = hot.limit(MAX_HOT_BLOCKS + 1).collect()
     if not few:
