@@ -71,20 +71,23 @@ class Words:
         return out
 
 
-def _matches(a: np.ndarray, b: np.ndarray, longest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _matches(
+    a: np.ndarray, b: np.ndarray, longest: np.ndarray, start: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Which characters of both sides match; pairs are in falling order of their longest string.
 
     A character takes the first free equal one inside the window, so the pairs whose window holds two
-    positions always come first.
+    positions always come first. The first ``start`` ones are equal in all pairs and match each other.
     """
     width, pairs = a.shape
     reach = np.maximum(longest // 2 - 1, 0)
     used, free = np.zeros((width, pairs), bool), np.ones((width, pairs), bool)
+    used[:start], free[:start] = True, False
     longer = [int(np.searchsorted(-longest, -k, "left")) for k in range(width)]  # than k
     wider = [int(np.searchsorted(-reach, -k, "right")) for k in range(int(reach[0]) + 1)]
-    for i in range(width):
+    for i in range(start, width):
         waits = np.ones(pairs, bool)
-        for j in range(max(0, i - len(wider) + 1), min(width, i + len(wider))):
+        for j in range(max(start, i - len(wider) + 1), min(width, i + len(wider))):
             n = min(longer[max(i, j)], wider[abs(i - j)])
             hit = a[i, :n] == b[j, :n]
             hit &= free[j, :n]
@@ -96,15 +99,16 @@ def _matches(a: np.ndarray, b: np.ndarray, longest: np.ndarray) -> tuple[np.ndar
 
 
 def _matches_of_long(
-    a: np.ndarray, b: np.ndarray, longest: np.ndarray
+    a: np.ndarray, b: np.ndarray, longest: np.ndarray, start: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """As ``_matches``, with all positions of the second string at once."""
     width, pairs = a.shape
     reach = np.maximum(longest // 2 - 1, 0)[:, None]
     used, free = np.zeros((width, pairs), bool), np.ones((pairs, width), bool)
+    used[:start], free[:, :start] = True, False
     second, most = np.ascontiguousarray(b.T), int(reach.max())
-    for i in range(width):
-        low, high = max(0, i - most), min(width, i + most + 1)
+    for i in range(start, width):
+        low, high = max(start, i - most), min(width, i + most + 1)
         hit = (second[:, low:high] == a[i][:, None]) & free[:, low:high]
         hit &= np.abs(np.arange(low, high) - i) <= reach
         at = hit.argmax(axis=1)
@@ -120,7 +124,10 @@ def _jaro_winkler(
     top = max(int(w.codes.max(initial=0)) for w in (left, right))
     kind = np.uint8 if top < 254 else np.int64
     one, two = left.columns(a, width, top + 1, kind), right.columns(b, width, top + 2, kind)
-    used, taken = (_matches if width < _LONG else _matches_of_long)(one, two, longest)
+    start = 0
+    while start < width and (one[start] == two[start]).all():
+        start += 1
+    used, taken = (_matches if width < _LONG else _matches_of_long)(one, two, longest, start)
     found = used.sum(axis=0)
     differs = one.T[used.T] != two.T[taken.T]
     moved = np.bincount(np.repeat(np.arange(len(a)), found)[differs], minlength=len(a)) // 2

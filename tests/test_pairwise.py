@@ -59,3 +59,13 @@ def test_slices_and_nulls():
     found = Words(pa.array(["zz", None, "", "abba", "é"])[1:])
     assert found.length.tolist() == [0, 0, 4, 1]
     assert found.letter_bits().tolist() == [0, 0, 3 | 3 << 21, 0]
+
+
+@pytest.mark.parametrize("longest", [12, 90])
+def test_a_start_that_all_pairs_share(longest):
+    """Names of one first name, as in a block, and starts that only look shared."""
+    some = [f"anna {w}" for w in words("annab ", longest, 120)] + ["anna", "anna a", "anna annaanna"]
+    pairs = [(a, b) for a, b in zip(some, [*some[1:], some[0]], strict=True) if a != b]
+    left, right = (Words(pa.array(side)) for side in zip(*pairs, strict=True))
+    every = np.arange(len(pairs))
+    assert jaro_winkler(left, right, every, every).tolist() == [by_hand(a, b) for a, b in pairs]
